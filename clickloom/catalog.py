@@ -121,7 +121,7 @@ def validation_top_errors(layers: Layers) -> DataFrame:
 
 @_query
 def stg_events(layers: Layers) -> DataFrame:
-    return layers.stg()
+    return stage.stage_events(layers.valid(), "event_id")
 
 
 @_query
@@ -421,7 +421,7 @@ def check_lookback(layers: Layers) -> DataFrame:
 
 @_query
 def check_lookback_faulty(layers: Layers) -> DataFrame:
-    """Sessions moved five days back: some last clicks then lie out of the window."""
+    """Sessions moved a week back: most last clicks then lie out of the window."""
     moved = layers.sessions(WIDE_GAP).withColumn("started_at", F.col("started_at") - F.expr("INTERVAL 7 DAYS"))
     return checks.lookback(layers.attribution(WIDE_GAP), moved)
 
@@ -487,19 +487,19 @@ def mon_quarantine_files(layers: Layers) -> DataFrame:
 
 @_query
 def mon_freshness(layers: Layers) -> DataFrame:
-    return monitors.freshness(layers.valid())
+    return monitors.freshness(layers.stg())
 
 
 @_query
 def volume_zscore(layers: Layers) -> DataFrame:
     return _rounded(
-        monitors.volume_zscore(layers.valid()), {"avg_prev7": 6, "sd_prev7": 6, "z_score": 6}
+        monitors.volume_zscore(layers.stg()), {"avg_prev7": 6, "sd_prev7": 6, "z_score": 6}
     )
 
 
 @_query
 def mon_volume_anomaly(layers: Layers) -> DataFrame:
-    return monitors.volume_anomaly(layers.valid())
+    return monitors.volume_anomaly(layers.stg())
 
 
 @_query

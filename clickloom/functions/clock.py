@@ -33,14 +33,14 @@ def boundary_diff(unit: str, start: Column, end: Column) -> Column:
     return index(end) - index(start)
 
 
-# Date spellings accepted beyond ISO 8601, month before day.
+# Date spellings accepted beyond ISO 8601, month before day: (shape, format).
 EXTRA_DATE_FORMATS = (
-    "M/d/yyyy[ H:mm[:ss[.SSS]]]",
-    "M/d/yyyy h:mm[:ss] a",
-    "yyyy/M/d[ H:mm[:ss[.SSS]]]",
-    "d MMM yyyy[ H:mm[:ss]]",
-    "MMM d, yyyy[ H:mm[:ss]]",
-    "yyyyMMdd['T'HHmmss]",
+    (r"^[0-9]{1,2}/.*[AaPp][Mm]$", "M/d/yyyy h:mm[:ss] a"),
+    (r"^[0-9]{1,2}/", "M/d/yyyy[ H:mm[:ss[.SSS]]]"),
+    (r"^[0-9]{4}/", "yyyy/M/d[ H:mm[:ss[.SSS]]]"),
+    (r"^[0-9]{1,2} [A-Za-z]", "d MMM yyyy[ H:mm[:ss]]"),
+    (r"^[A-Za-z]{3} ", "MMM d, yyyy[ H:mm[:ss]]"),
+    (r"^[0-9]{8}", "yyyyMMdd['T'HHmmss]"),
 )
 
 
@@ -65,10 +65,11 @@ def parse_timestamp(text: Column) -> Column:
         F.when(has_offset, _utc_wall_clock(colon_offset.try_cast("timestamp")))
         .otherwise(text.try_cast("timestamp_ntz")),
     )
-    others = [
-        F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz") for fmt in EXTRA_DATE_FORMATS
-    ]
-    return F.coalesce(iso, F.when(~starts_with_year | iso.isNull(), F.coalesce(*others)))
+    # the shape picks one format, so other text is refused without a parsing attempt
+    spelling = F
+    for shape, fmt in EXTRA_DATE_FORMATS:
+        spelling = spelling.when(text.rlike(shape), fmt)
+    return F.coalesce(iso, F.try_to_timestamp(text, spelling).cast("timestamp_ntz"))
 
 
 def epoch_number_to_timestamp(number: Column) -> Column:

@@ -37,12 +37,9 @@ def is_json(text: Column) -> Column:
     marked = F.concat(F.lit("["), text, F.lit(f',"{_TAIL_MARK}"]'))
     one_value = F.coalesce(F.get_json_object(marked, "$[1]") == _TAIL_MARK, F.lit(False))
     unescaped = F.regexp_replace(text, r"(?s)\\.", "")
-    outside = F.regexp_replace(unescaped, r'"[^"]*"', "")
-    controls = r"[\x00-\x1f]"
-    strict = ~F.contains(outside, F.lit("'")) & (
-        F.regexp_count(unescaped, F.lit(controls)) == F.regexp_count(outside, F.lit(controls))
-    )
-    return one_value & F.when(text.rlike(r"['\x00-\x1f]"), strict).otherwise(F.lit(True))
+    without_strings = F.regexp_replace(unescaped, r'"[^"\x00-\x1f]*"', "")
+    suspicious = text.rlike(r"['\x00-\x1f]")
+    return one_value & F.when(suspicious, ~without_strings.rlike("[\"']")).otherwise(F.lit(True))
 
 
 def starts_as_object(text: Column) -> Column:

@@ -7,6 +7,7 @@ the rejection reason and the counts.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -20,29 +21,33 @@ from clickloom.schema import (
 ABSENT = "_absent"
 
 
+def _is_no_data(column: Column) -> Column:
+    return column.isNull() | F.lower(clock.strip(column)).isin("", "null")
+
+
 def _object_text(column: Column, data_type: T.DataType) -> Column:
+    """Text of a JSON object, ``{}`` where there is none, NULL where the text is no object."""
     if isinstance(data_type, (T.StructType, T.MapType, T.VariantType)):
         return F.to_json(column)
     stripped = clock.strip(column)
-    empty = column.isNull() | F.lower(stripped).isin("", "null")
-    return F.when(empty, "{}").otherwise(stripped)
-
-
-def _text_messages(column: Column) -> Column:
-    return F.when(column.isNull(), MSG_NOT_STRING).when(clock.strip(column) == "", MSG_BLANK)
+    is_object = text.starts_as_object(stripped) & text.is_json(stripped)
+    return F.when(_is_no_data(column), "{}").when(is_object, stripped)
 
 
 def annotate(raw: DataFrame) -> DataFrame:
     """Add the typed record, ``errors`` (array of "field: message") and ``is_valid``.
 
-    Columns named in ``EVENT_COLUMNS`` that ``raw`` lacks count as absent in every row. The
-    raw text is kept under ``raw_<column>``; other columns of ``raw`` pass through.
+    Typed columns other than referrer are NULL exactly where the cell is not acceptable, so a
+    row is valid iff none of them is. Columns of ``EVENT_COLUMNS`` that ``raw`` lacks count as
+    absent in every row. The cells as read are kept under ``raw_<column>``; other columns of
+    ``raw`` pass through.
     """
     present = set(raw.columns)
     others = [c for c in raw.columns if c not in EVENT_COLUMNS and c != ABSENT]
+    per_row = ABSENT in present
     source = raw.select(
         *others,
-        *([ABSENT] if ABSENT in present else []),
+        *([ABSENT] if per_row else []),
         *[
             (F.col(c) if c in present else F.lit(None).cast("string")).alias(f"raw_{c}")
             for c in EVENT_COLUMNS
@@ -51,46 +56,53 @@ def annotate(raw: DataFrame) -> DataFrame:
     types = {c: source.schema[f"raw_{c}"].dataType for c in EVENT_COLUMNS}
     cell = {c: F.col(f"raw_{c}") for c in EVENT_COLUMNS}
 
+    name = F.lower(clock.strip(cell["event_name"]))
+    accepted = {
+        **{c: F.nullif(clock.strip(cell[c]), F.lit("")) for c in ("client_id", "page_url", "user_agent")},
+        "timestamp": clock.as_timestamp_ntz(cell["timestamp"], types["timestamp"]),
+        "event_name": F.when(name.isin(*EVENT_NAMES), name),
+        "event_data": _object_text(cell["event_data"], types["event_data"]),
+    }
+    faults = {
+        c: F.when(cell[c].isNull(), MSG_NOT_STRING).otherwise(MSG_BLANK)
+        for c in ("client_id", "page_url", "user_agent")
+    }
+    faults["timestamp"] = F.when(cell["timestamp"].isNull(), MSG_TS_NULL)
+    if isinstance(types["timestamp"], T.StringType):
+        blank = clock.strip(cell["timestamp"]) == ""
+        faults["timestamp"] = faults["timestamp"].when(blank, MSG_TS_BLANK)
+    faults["timestamp"] = faults["timestamp"].otherwise(MSG_TS_BAD)
+    faults["event_name"] = F.lit(MSG_EVENT_NAME)
+    faults["event_data"] = F.lit(MSG_JSON_BAD)
+    if isinstance(types["event_data"], T.StringType):
+        faults["event_data"] = F.when(
+            text.is_json(clock.strip(cell["event_data"])), MSG_JSON_NOT_OBJECT
+        ).otherwise(MSG_JSON_BAD)
+
+    for field in accepted:
+        if field not in present:
+            faults[field] = F.lit(MSG_ABSENT)
+            accepted[field] = F.lit(None).cast(source.select(accepted[field]).schema[0].dataType)
+        elif per_row:
+            absent = F.array_contains(ABSENT, field)
+            faults[field] = F.when(absent, MSG_ABSENT).otherwise(faults[field])
+            accepted[field] = F.when(~absent, accepted[field])
+
+    fields = [f for f in MESSAGE_ORDER if f in accepted]
     typed = source.select(
-        "*",
-        *[clock.strip(cell[c]).alias(c) for c in ("client_id", "page_url", "user_agent")],
+        *others,
+        *[F.col(f"raw_{c}") for c in EVENT_COLUMNS],
+        *([ABSENT] if per_row else []),
+        *[accepted[f].alias(f) for f in fields],
         cell["referrer"].alias("referrer"),
-        F.lower(clock.strip(cell["event_name"])).alias("event_name"),
-        _object_text(cell["event_data"], types["event_data"]).alias("event_data"),
-        clock.as_timestamp_ntz(cell["timestamp"], types["timestamp"]).alias("timestamp"),
     )
-
-    faults = {c: _text_messages(cell[c]) for c in ("client_id", "page_url", "user_agent")}
-    stamp = cell["timestamp"]
-    faults["timestamp"] = F.when(stamp.isNull(), MSG_TS_NULL)
-    if isinstance(types["timestamp"], T.StringType):
-        faults["timestamp"] = faults["timestamp"].when(clock.strip(stamp) == "", MSG_TS_BLANK)
-    faults["timestamp"] = faults["timestamp"].when(F.col("timestamp").isNull(), MSG_TS_BAD)
-    known = F.coalesce(F.col("event_name").isin(*EVENT_NAMES), F.lit(False))
-    faults["event_name"] = F.when(~known, MSG_EVENT_NAME)
-    data = F.col("event_data")
-    faults["event_data"] = F.when(
-        ~text.starts_as_object(data),
-        F.when(text.is_json(data), MSG_JSON_NOT_OBJECT).otherwise(MSG_JSON_BAD),
-    ).when(~text.is_json(data), MSG_JSON_BAD)
-
-    messages = []
-    for field in MESSAGE_ORDER:
-        if field == "referrer":
-            continue
-        if field not in present:
-            message = F.lit(MSG_ABSENT)
-        elif ABSENT in present:
-            message = F.when(F.array_contains(ABSENT, field), MSG_ABSENT).otherwise(faults[field])
-        else:
-            message = faults[field]
-        messages.append(F.concat(F.lit(f"{field}: "), message))
-
-    judged = typed.withColumns({
+    messages = [
+        F.when(F.col(f).isNull(), F.concat(F.lit(f"{f}: "), faults[f])) for f in fields
+    ]
+    return typed.withColumns({
         "errors": F.array_compact(F.array(*messages)),
-        "is_valid": F.coalesce(*messages).isNull(),
-    })
-    return judged.drop(ABSENT)
+        "is_valid": reduce(Column.__and__, [F.col(f).isNotNull() for f in fields]),
+    }).drop(ABSENT)
 
 
 def valid_events(annotated: DataFrame, *keep: str) -> DataFrame:

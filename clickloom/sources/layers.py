@@ -1,9 +1,8 @@
 """Derived tables shared by the registered queries of one session.
 
-Projections (raw, valid, staged events) stay lazy, so each query prunes them to the columns it
-needs. Tables that take shuffles to make are written once under the shared scratch folder and
-read back, as a warehouse keeps them, because several branches of a query and many queries read
-them. A table is made again when the input changes.
+Raw cells, staged events and the tables built from them are written once under the shared scratch
+folder and read back, as a warehouse keeps them: several branches of a query and many queries
+read them, each pruned to the columns it needs. A table is made again when the input changes.
 """
 
 from __future__ import annotations
@@ -11,6 +10,7 @@ from __future__ import annotations
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from clickloom.operators import (
     attribution, identity, matching, orders, sessions as session_ops, stage, validate,
@@ -18,7 +18,7 @@ from clickloom.operators import (
 from clickloom.session import scratch_path
 from clickloom.sources import recipe, storage
 
-_made: dict[tuple, str] = {}
+_made: dict[tuple, tuple[str, StructType]] = {}
 _lock = threading.Lock()
 
 
@@ -32,17 +32,20 @@ class Layers:
     def _written(self, name: str, make) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, self._input, name)
         with _lock:
-            path = _made.get(key)
-        if path is None or not storage.exists(self.spark, f"{path}/_SUCCESS"):
+            made = _made.get(key)
+        if made is None or not storage.exists(self.spark, f"{made[0]}/_SUCCESS"):
             df = make()
             path = scratch_path(self.spark, name)
             df.write.parquet(path)
+            made = (path, df.schema)
             with _lock:
-                path = _made.setdefault(key, path)
-        return self.spark.read.parquet(path)
+                _made[key] = made
+        path, schema = made
+        return self.spark.read.schema(schema).parquet(path)
 
     def raw(self) -> DataFrame:
-        return recipe.raw_clickstream(self.spark, self.sf_dir)
+        """Raw clickstream cells: what the event files would hold."""
+        return self._written("raw", lambda: recipe.raw_clickstream(self.spark, self.sf_dir))
 
     def annotated(self) -> DataFrame:
         return validate.annotate(self.raw())
@@ -51,7 +54,7 @@ class Layers:
         return validate.valid_events(self.annotated(), "event_id")
 
     def stg(self) -> DataFrame:
-        return stage.stage_events(self.valid(), "event_id")
+        return self._written("stg_events", lambda: stage.stage_events(self.valid(), "event_id"))
 
     def user_map(self) -> DataFrame:
         return self._written("dim_user_map", lambda: identity.stitch_identity(self.stg()))
