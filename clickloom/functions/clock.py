@@ -82,7 +82,7 @@ def epoch_number_to_timestamp(number: Column) -> Column:
 
 
 def as_timestamp_ntz(column: Column, data_type: T.DataType) -> Column:
-    """Timestamp value of a source column that may be text, typed or numeric."""
+    """Timestamp value of a source column that may be stripped text, typed or numeric."""
     if isinstance(data_type, T.TimestampNTZType):
         return column
     if isinstance(data_type, T.TimestampType):
@@ -91,7 +91,7 @@ def as_timestamp_ntz(column: Column, data_type: T.DataType) -> Column:
         return epoch_number_to_timestamp(column)
     if isinstance(data_type, T.DateType):
         return column.cast("timestamp_ntz")
-    return parse_timestamp(strip(column))
+    return parse_timestamp(column)
 
 
 # Every whitespace character of Unicode plus the four ASCII separators, as str.isspace() has it.
@@ -99,4 +99,9 @@ WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def strip(column: Column) -> Column:
-    return F.trim(column, F.lit(WHITESPACE))
+    """Text without whitespace at its ends; cells that begin and end in plain ASCII pass unread."""
+    def may_be_space(char: Column) -> Column:
+        return ~F.ascii(char).between(33, 126)
+
+    edges = may_be_space(column) | may_be_space(F.substring(column, -1, 1))
+    return F.when(edges, F.trim(column, F.lit(WHITESPACE))).otherwise(column)

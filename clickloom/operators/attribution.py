@@ -57,9 +57,8 @@ def _credits(sessions: DataFrame) -> DataFrame:
     )
 
 
-def _timeline(buys: DataFrame, sessions: DataFrame, lookback_days: int) -> DataFrame:
-    credits = _credits(sessions)
-    credit_type = credits.schema["low"].dataType
+def _probes(buys: DataFrame, lookback_days: int) -> DataFrame:
+    """Both ends of the lookback window of each distinct (user, purchase_time)."""
     times = buys.select(F.col("purchaser_master_id").alias("user"), "purchase_time").distinct()
     ends = F.array(
         F.struct(F.lit(_CLOSES).alias("kind"), F.col("purchase_time").alias("at")),
@@ -68,8 +67,12 @@ def _timeline(buys: DataFrame, sessions: DataFrame, lookback_days: int) -> DataF
             (F.col("purchase_time") - F.expr(f"INTERVAL {int(lookback_days)} DAYS")).alias("at"),
         ),
     )
-    none = F.lit(None).cast(credit_type)
-    probes = times.select("user", "purchase_time", F.inline(ends)).select(
+    return times.select("user", "purchase_time", F.inline(ends))
+
+
+def _timeline(probes: DataFrame, credits: DataFrame) -> DataFrame:
+    none = F.lit(None).cast(credits.schema["low"].dataType)
+    lookups = probes.select(
         "user", "at", "kind", "purchase_time",
         none.alias("low"), none.alias("high"), F.lit(0).cast("bigint").alias("starts"),
     )
@@ -77,16 +80,22 @@ def _timeline(buys: DataFrame, sessions: DataFrame, lookback_days: int) -> DataF
         "user", "at", F.lit(_SESSION).alias("kind"),
         F.lit(None).cast("timestamp_ntz").alias("purchase_time"), "low", "high", "starts",
     )
-    return probes.unionByName(marks).withColumn("hour_no", epoch_hour(F.col("at")))
+    return lookups.unionByName(marks).withColumn("hour_no", epoch_hour(F.col("at")))
 
 
-def _carry_over(timeline: DataFrame) -> DataFrame:
+def _carry_over(probes: DataFrame, sessions: DataFrame) -> DataFrame:
     """Per (user, hour): last session of earlier hours, first of later hours, sessions before."""
-    is_session = F.col("kind") == _SESSION
-    hours = timeline.groupBy("user", "hour_no").agg(
-        F.max(F.when(is_session, F.struct("at", "high"))).alias("last"),
-        F.min(F.when(is_session, F.struct("at", "low"))).alias("first"),
-        F.sum("starts").alias("starts"),
+    starts = sessions.select(
+        F.col("master_user_id").alias("user"),
+        epoch_hour(F.col("started_at")).alias("hour_no"),
+        F.struct(F.col("started_at").alias("at"), F.struct(*_CREDIT).alias("credit")).alias("start"),
+    )
+    asked = probes.select(
+        "user", epoch_hour(F.col("at")).alias("hour_no"),
+        F.lit(None).cast(starts.schema["start"].dataType).alias("start"),
+    )
+    hours = starts.unionByName(asked).groupBy("user", "hour_no").agg(
+        F.max("start").alias("last"), F.min("start").alias("first"), F.count("start").alias("starts")
     )
     forward = Window.partitionBy("user").orderBy("hour_no").rowsBetween(Window.unboundedPreceding, -1)
     backward = (
@@ -95,8 +104,8 @@ def _carry_over(timeline: DataFrame) -> DataFrame:
     return hours.select(
         "user",
         "hour_no",
-        F.last("last", ignorenulls=True).over(forward)["high"].alias("carried_last"),
-        F.last("first", ignorenulls=True).over(backward)["low"].alias("carried_first"),
+        F.last("last", ignorenulls=True).over(forward)["credit"].alias("carried_last"),
+        F.last("first", ignorenulls=True).over(backward)["credit"].alias("carried_first"),
         F.coalesce(F.sum("starts").over(forward), F.lit(0)).alias("carried_starts"),
     )
 
@@ -104,7 +113,8 @@ def _carry_over(timeline: DataFrame) -> DataFrame:
 def credited_sessions(buys: DataFrame, sessions: DataFrame,
                       lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
     """Per (user, purchase_time) with a candidate: last_click, first_click, n_candidates."""
-    timeline = _timeline(buys, sessions, lookback_days)
+    probes = _probes(buys, lookback_days)
+    timeline = _timeline(probes, _credits(sessions))
     rows = (Window.unboundedPreceding, Window.currentRow)
     up = Window.partitionBy("user", "hour_no").orderBy("at", "kind").rowsBetween(*rows)
     down = (
@@ -116,7 +126,7 @@ def credited_sessions(buys: DataFrame, sessions: DataFrame,
         F.last("low", ignorenulls=True).over(down).alias("after"),
         F.sum("starts").over(up).alias("starts"),
     ).where(F.col("kind") != _SESSION)
-    placed = within.join(_carry_over(timeline), ["user", "hour_no"])
+    placed = within.join(_carry_over(probes, sessions), ["user", "hour_no"])
     closes = F.col("kind") == _CLOSES
     count = F.col("starts") + F.col("carried_starts")
     return (

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from clickloom.functions.clock import epoch_minute
 
+# On-disk size up to which a user map is broadcast.
+BROADCAST_BYTES = 8 * 1024 * 1024
+
 
 def email_signals(stg: DataFrame) -> DataFrame:
     """Distinct sightings of an email on a device."""
@@ -34,13 +37,22 @@ def with_user(df: DataFrame, user_map: DataFrame) -> DataFrame:
     )
 
 
-def identity_join(stg: DataFrame, user_map: DataFrame) -> DataFrame:
+def _is_small(df: DataFrame, limit_bytes: int) -> bool:
+    """Whether the optimizer's size estimate, an upper bound for a stored table, is within the limit."""
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    return int(str(stats.sizeInBytes())) <= limit_bytes
+
+
+def identity_join(stg: DataFrame, user_map: DataFrame,
+                  broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Events with their master user.
 
-    A device may hold a large share of all events, so events are not shuffled on the device:
-    the user is first resolved for each (device, active minute), which the calendar bounds,
-    and events join that on both columns.
+    A user map of proven small size is broadcast. Beyond that, as a device may hold a large share
+    of all events, they are not shuffled on the device: the user is first resolved for each
+    (device, active minute), which the calendar bounds, and events join that on both columns.
     """
+    if _is_small(user_map, broadcast_bytes):
+        return with_user(stg, F.broadcast(user_map))
     minute = epoch_minute(F.col("timestamp"))
     active = stg.select("client_id", minute.alias("minute_no")).distinct()
     resolved = with_user(active, user_map)

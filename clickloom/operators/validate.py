@@ -21,17 +21,12 @@ from clickloom.schema import (
 ABSENT = "_absent"
 
 
-def _is_no_data(column: Column) -> Column:
-    return column.isNull() | F.lower(clock.strip(column)).isin("", "null")
-
-
-def _object_text(column: Column, data_type: T.DataType) -> Column:
+def _object_text(cell: Column, data_type: T.DataType) -> Column:
     """Text of a JSON object, ``{}`` where there is none, NULL where the text is no object."""
     if isinstance(data_type, (T.StructType, T.MapType, T.VariantType)):
-        return F.to_json(column)
-    stripped = clock.strip(column)
-    is_object = text.starts_as_object(stripped) & text.is_json(stripped)
-    return F.when(_is_no_data(column), "{}").when(is_object, stripped)
+        return F.to_json(cell)
+    is_object = text.starts_as_object(cell) & text.is_json(cell)
+    return F.when(is_object, cell).when(cell.isNull() | F.lower(cell).isin("", "null"), "{}")
 
 
 def annotate(raw: DataFrame) -> DataFrame:
@@ -44,65 +39,71 @@ def annotate(raw: DataFrame) -> DataFrame:
     """
     present = set(raw.columns)
     others = [c for c in raw.columns if c not in EVENT_COLUMNS and c != ABSENT]
-    per_row = ABSENT in present
+    per_row = [ABSENT] if ABSENT in present else []
+    required = [f for f in MESSAGE_ORDER if f != "referrer"]
     source = raw.select(
         *others,
-        *([ABSENT] if per_row else []),
+        *per_row,
         *[
             (F.col(c) if c in present else F.lit(None).cast("string")).alias(f"raw_{c}")
             for c in EVENT_COLUMNS
         ],
     )
     types = {c: source.schema[f"raw_{c}"].dataType for c in EVENT_COLUMNS}
-    cell = {c: F.col(f"raw_{c}") for c in EVENT_COLUMNS}
-
-    name = F.lower(clock.strip(cell["event_name"]))
+    is_text = {c: isinstance(types[c], T.StringType) for c in EVENT_COLUMNS}
+    source = source.select("*", *[
+        (clock.strip(F.col(f"raw_{c}")) if is_text[c] else F.col(f"raw_{c}")).alias(f"cell_{c}")
+        for c in required
+    ])
+    cell = {c: F.col(f"cell_{c}") for c in required}
+
+    name = F.lower(cell["event_name"])
     accepted = {
-        **{c: F.nullif(clock.strip(cell[c]), F.lit("")) for c in ("client_id", "page_url", "user_agent")},
+        **{c: F.nullif(cell[c], F.lit("")) for c in ("client_id", "page_url", "user_agent")},
         "timestamp": clock.as_timestamp_ntz(cell["timestamp"], types["timestamp"]),
         "event_name": F.when(name.isin(*EVENT_NAMES), name),
         "event_data": _object_text(cell["event_data"], types["event_data"]),
     }
+    for field in required:
+        if field not in present:
+            accepted[field] = F.lit(None).cast("timestamp_ntz" if field == "timestamp" else "string")
+        elif per_row:
+            accepted[field] = F.when(~F.array_contains(ABSENT, field), accepted[field])
+    # One-element inline: a filter on the typed columns stays above it, so that no cell is parsed
+    # once for the filter and again for the output.
+    record = F.struct(*[accepted[f].alias(f) for f in required])
+    typed = source.select("*", F.inline(F.array(record)))
+
     faults = {
         c: F.when(cell[c].isNull(), MSG_NOT_STRING).otherwise(MSG_BLANK)
         for c in ("client_id", "page_url", "user_agent")
     }
     faults["timestamp"] = F.when(cell["timestamp"].isNull(), MSG_TS_NULL)
-    if isinstance(types["timestamp"], T.StringType):
-        blank = clock.strip(cell["timestamp"]) == ""
-        faults["timestamp"] = faults["timestamp"].when(blank, MSG_TS_BLANK)
+    if is_text["timestamp"]:
+        faults["timestamp"] = faults["timestamp"].when(cell["timestamp"] == "", MSG_TS_BLANK)
     faults["timestamp"] = faults["timestamp"].otherwise(MSG_TS_BAD)
     faults["event_name"] = F.lit(MSG_EVENT_NAME)
     faults["event_data"] = F.lit(MSG_JSON_BAD)
-    if isinstance(types["event_data"], T.StringType):
-        faults["event_data"] = F.when(
-            text.is_json(clock.strip(cell["event_data"])), MSG_JSON_NOT_OBJECT
-        ).otherwise(MSG_JSON_BAD)
+    if is_text["event_data"]:
+        is_value = text.is_json(cell["event_data"])
+        faults["event_data"] = F.when(is_value, MSG_JSON_NOT_OBJECT).otherwise(MSG_JSON_BAD)
 
-    for field in accepted:
+    messages = []
+    for field in required:
+        fault = faults[field]
         if field not in present:
-            faults[field] = F.lit(MSG_ABSENT)
-            accepted[field] = F.lit(None).cast(source.select(accepted[field]).schema[0].dataType)
+            fault = F.lit(MSG_ABSENT)
         elif per_row:
-            absent = F.array_contains(ABSENT, field)
-            faults[field] = F.when(absent, MSG_ABSENT).otherwise(faults[field])
-            accepted[field] = F.when(~absent, accepted[field])
-
-    fields = [f for f in MESSAGE_ORDER if f in accepted]
-    typed = source.select(
+            fault = F.when(F.array_contains(ABSENT, field), MSG_ABSENT).otherwise(fault)
+        messages.append(F.when(F.col(field).isNull(), F.concat(F.lit(f"{field}: "), fault)))
+    return typed.select(
         *others,
-        *[F.col(f"raw_{c}") for c in EVENT_COLUMNS],
-        *([ABSENT] if per_row else []),
-        *[accepted[f].alias(f) for f in fields],
-        cell["referrer"].alias("referrer"),
+        *[f"raw_{c}" for c in EVENT_COLUMNS],
+        F.col("raw_referrer").alias("referrer"),
+        *required,
+        F.array_compact(F.array(*messages)).alias("errors"),
+        reduce(Column.__and__, [F.col(f).isNotNull() for f in required]).alias("is_valid"),
     )
-    messages = [
-        F.when(F.col(f).isNull(), F.concat(F.lit(f"{f}: "), faults[f])) for f in fields
-    ]
-    return typed.withColumns({
-        "errors": F.array_compact(F.array(*messages)),
-        "is_valid": reduce(Column.__and__, [F.col(f).isNotNull() for f in fields]),
-    }).drop(ABSENT)
 
 
 def valid_events(annotated: DataFrame, *keep: str) -> DataFrame:
