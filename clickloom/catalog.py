@@ -116,6 +116,33 @@ def validation_top_errors(layers: Layers) -> DataFrame:
     return validate.top_errors(layers.annotated())
 
 
+def _csv_annotated(layers: Layers) -> DataFrame:
+    return validate.annotate(csv_files.read_events(layers.spark, layers.csv_files()))
+
+
+@_query
+def csv_ingest_valid(layers: Layers) -> DataFrame:
+    """Accepted rows of CSV files with three header shapes."""
+    return validate.valid_events(_csv_annotated(layers))
+
+
+@_query
+def csv_ingest_quarantine(layers: Layers) -> DataFrame:
+    return validate.quarantined(_csv_annotated(layers))
+
+
+@_query
+def header_report(layers: Layers) -> DataFrame:
+    """Header drift by shape, with the rows of that shape."""
+    rows = _csv_annotated(layers).groupBy("source_file").agg(F.count("*").alias("n_rows"))
+    report = csv_files.header_report(layers.spark, layers.csv_files()).join(rows, "source_file")
+    shape = [
+        F.array_join(c, "|").alias(c)
+        for c in ("headers", "normalized_headers", "extra_columns", "missing_core")
+    ]
+    return report.groupBy(*shape).agg(F.sum("n_rows").alias("n_rows"))
+
+
 # --- staging --------------------------------------------------------------------------------
 
 

@@ -9,19 +9,44 @@ from __future__ import annotations
 
 import threading
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from clickloom.operators import (
     attribution, identity, matching, orders, sessions as session_ops, stage, validate,
 )
 from clickloom.session import scratch_path
-from clickloom.sources import recipe, storage
+from clickloom.sources import csv_files, recipe, storage
 
-_made: dict[tuple, tuple[str, StructType]] = {}
+_made: dict[tuple, str] = {}
+_schemas: dict[str, StructType] = {}
 _lock = threading.Lock()
 
 
+def _write_csv_shapes(raw: DataFrame, path: str) -> None:
+    """Rows by event_id % 3: plain headers and an extra column; camel case; split date and time."""
+    camel = {
+        "client_id": "clientId", "page_url": "pageUrl", "referrer": "Referrer", "timestamp": "timestamp",
+        "event_name": "eventName", "event_data": "eventData", "user_agent": "userAgent",
+    }
+    plain = ["client_id", "page_url", "referrer", "timestamp", "event_name", "event_data", "user_agent"]
+    part = [raw.where(F.col("event_id") % 3 == number) for number in range(3)]
+    shapes = [
+        part[0].select(*reversed(plain), F.col("event_id").alias("row_no")),
+        part[1].select(*[F.col(c).alias(camel[c]) for c in plain]),
+        part[2].select(
+            "client_id", "page_url", F.substring("timestamp", 1, 10).alias("Date"),
+            F.expr("substring(timestamp, 12)").alias("Time"), "event_name", "event_data", "user_agent",
+        ),
+    ]
+    for number, shape in enumerate(shapes):
+        (
+            shape.write.option("header", True).option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            .csv(f"{path}/shape{number}")
+        )
+
+
 class Layers:
     """Lazy and written layers over ``<sf_dir>/events.parquet``."""
 
@@ -29,24 +54,37 @@ class Layers:
         self.spark, self.sf_dir = spark, sf_dir
         self._input = storage.version(spark, f"{sf_dir}/events.parquet")
 
-    def _written(self, name: str, make) -> DataFrame:
+    def _folder(self, name: str, write) -> str:
+        """Path of a folder that ``write(path)`` fills, unless this session did so before."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir, self._input, name)
         with _lock:
-            made = _made.get(key)
-        if made is None or not storage.exists(self.spark, f"{made[0]}/_SUCCESS"):
-            df = make()
+            path = _made.get(key)
+        if path is None or not storage.exists(self.spark, path):
             path = scratch_path(self.spark, name)
-            df.write.parquet(path)
-            made = (path, df.schema)
+            write(path)
             with _lock:
-                _made[key] = made
-        path, schema = made
-        return self.spark.read.schema(schema).parquet(path)
+                _made[key] = path
+        return path
+
+    def _written(self, name: str, make) -> DataFrame:
+        def write(path: str) -> None:
+            df = make()
+            df.write.parquet(path)
+            _schemas[path] = df.schema
+
+        path = self._folder(name, write)
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     def raw(self) -> DataFrame:
         """Raw clickstream cells: what the event files would hold."""
         return self._written("raw", lambda: recipe.raw_clickstream(self.spark, self.sf_dir))
 
+    def csv_files(self) -> list[csv_files.SourceFile]:
+        """The raw cells as CSV files of three header shapes, written once."""
+        raw = self.raw()
+        path = self._folder("raw_csv", lambda target: _write_csv_shapes(raw, target))
+        return csv_files.discover(self.spark, f"{path}/*/part-*.csv")
+
     def annotated(self) -> DataFrame:
         return validate.annotate(self.raw())
 
