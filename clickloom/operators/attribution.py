@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom.functions.clock import epoch_hour
 from clickloom.functions.keys import purchase_key
-from clickloom.operators.identity import with_user
+from clickloom.operators.identity import identity_join
 from clickloom.schema import CHECKOUT_DONE, FCT_ATTRIBUTION, LOOKBACK_DAYS
 
 # Order of rows at one instant: window start, sessions, purchase. Sessions starting exactly at
@@ -30,19 +30,16 @@ _CREDIT = ("session_id", "channel", "source", "medium")
 
 
 def purchases(stg: DataFrame, user_map: DataFrame) -> DataFrame:
-    """Distinct completed checkouts with the purchasing user.
-
-    Duplicates collapse before the join, so a device contributes at most its distinct purchases.
-    """
+    """Distinct completed checkouts with the purchasing user; duplicates collapse before the join."""
     distinct = (
         stg.where(F.col("event_name") == CHECKOUT_DONE)
-        .select("client_id", F.col("timestamp").alias("purchase_time"), "transaction_id", "revenue")
+        .select("client_id", "timestamp", "transaction_id", "revenue")
         .distinct()
     )
-    return with_user(distinct, user_map).select(
-        purchase_key(F.col("client_id"), F.col("purchase_time")).alias("purchase_pk"),
+    return identity_join(distinct, user_map).select(
+        purchase_key(F.col("client_id"), F.col("timestamp")).alias("purchase_pk"),
         "client_id",
-        "purchase_time",
+        F.col("timestamp").alias("purchase_time"),
         "transaction_id",
         "revenue",
         F.col("master_user_id").alias("purchaser_master_id"),

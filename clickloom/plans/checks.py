@@ -96,16 +96,27 @@ def attribution_coverage(attribution: DataFrame) -> DataFrame:
 
 def lookback(attribution: DataFrame, sessions: DataFrame,
              lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
-    """Purchases whose last-click session began more than the lookback before."""
+    """Purchases whose last-click session began more than the lookback before.
+
+    One session may be credited with a large share of all purchases, so it is met once per
+    purchase day; purchases are joined only with the days found late, of which sound tables
+    have none.
+    """
+    bought = attribution.select(
+        "transaction_id", "purchase_time", "lc_session_id", F.to_date("purchase_time").alias("day")
+    )
     started = sessions.select(
         F.col("session_id").alias("lc_session_id"), F.col("started_at").alias("lc_started_at")
     )
-    days = boundary_diff("day", F.col("lc_started_at"), F.col("purchase_time"))
-    return (
-        attribution.select("transaction_id", "purchase_time", "lc_session_id")
+    days = boundary_diff("day", F.col("lc_started_at"), F.col("day").cast("timestamp_ntz"))
+    late = (
+        bought.select("lc_session_id", "day").distinct()
         .join(started, "lc_session_id")
         .withColumn("days_before_purchase", days)
         .where(F.col("days_before_purchase") > lookback_days)
+    )
+    return (
+        bought.join(late, ["lc_session_id", "day"])
         .select("transaction_id", "purchase_time", "lc_session_id", "lc_started_at", "days_before_purchase")
         .orderBy(F.desc("days_before_purchase"))
     )

@@ -147,9 +147,14 @@ def test_a_device_is_never_shuffled_whole(spark, folder):
     spark.createDataFrame([stg_row("c", "2024-01-01 10:00")], STG_DDL).write.parquet(folder + "/stg")
     spark.createDataFrame([("c", "u")], NO_MAP).write.parquet(folder + "/map")
     stg, user_map = spark.read.parquet(folder + "/stg"), spark.read.parquet(folder + "/map")
-    for df in (session_rollup(stg, user_map), sessionize(stg, user_map),
-               identity.identity_join(stg, user_map, broadcast_bytes=0)):
-        plan = df._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frames = [session_rollup(stg, user_map), sessionize(stg, user_map),
+                  identity.identity_join(stg, user_map, broadcast_bytes=0)]
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in frames]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for plan in plans:
         steps = [line for line in plan.splitlines() if re.search("Exchange|Aggregate|FileScan", line)]
         whole = [i for i, line in enumerate(steps) if re.search(r"hashpartitioning\(client_id#\d+, \d+\)", line)]
         assert whole
