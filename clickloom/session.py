@@ -28,12 +28,15 @@ def local_session(app: str = "clickloom", cores: int | str = "*", shuffle_partit
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written intermediates.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset, as in tests
-    on one machine, a temporary folder is chosen and remembered for this session.
+    A cluster names it in ``spark.checkpoint.dir``. Where that is unset, a cluster's checkpoint
+    or warehouse folder is taken; only a local session falls back to a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
+    if not root and context._jsc.sc().getCheckpointDir().isDefined():
+        root = context._jsc.sc().getCheckpointDir().get()
+    if not root and not context.master.startswith("local"):
+        root = spark.conf.get("spark.sql.warehouse.dir")
     if not root:
         root = tempfile.mkdtemp(prefix="clickloom-")
         spark.conf.set("spark.checkpoint.dir", root)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from clickloom.functions import text
 from clickloom.operators.validate import ABSENT
 from clickloom.schema import CORE_COLUMNS, EVENT_COLUMNS
-from clickloom.sources import storage
+from clickloom.sources import csv_records, storage
 
 # Header spellings, compared in lower case, and the column they mean.
 HEADER_ALIASES = {
@@ -38,8 +38,10 @@ HEADER_ALIASES = {
     "time": "time",
 }
 
-# Files above this many bytes are checked for line breaks inside quotes; without any they can
-# be read in parallel splits.
+# How a file is read: by one task, by line splits, or by records found across line splits.
+WHOLE, LINES, RECORDS = "whole", "lines", "records"
+
+# Files above this many bytes are never read by one task.
 LARGE_FILE_BYTES = 512 * 1024 * 1024
 
 
@@ -129,44 +131,38 @@ def file_list(spark: SparkSession, files: Iterable[SourceFile]) -> DataFrame:
     return spark.createDataFrame([(f.name,) for f in files], "source_file string")
 
 
-def _decoded(metadata_field: str) -> Column:
-    """File metadata is URL-encoded except for '+'."""
-    return F.url_decode(F.replace(F.col(f"_metadata.{metadata_field}"), F.lit("+"), F.lit("%2B")))
-
-
-def _ends_inside_quotes(line: Column) -> Column:
-    """Whether a CSV line that starts outside quotes ends within a quoted cell."""
-    def step(is_open: Column, piece: Column) -> Column:
-        odd = F.length(F.regexp_replace(piece, '[^"]', "")) % 2 == 1
-        return F.when(is_open | F.startswith(piece, F.lit('"')), is_open != odd).otherwise(is_open)
-
-    return F.aggregate(F.split(line, ","), F.lit(False), step)
-
-
 def spanning_files(spark: SparkSession, paths: list[str]) -> set[str]:
     """Paths holding at least one line break inside quotes; a parallel scan of the lines."""
     hits = (
         spark.read.text(paths)
-        .where(F.col("value").contains('"') & _ends_inside_quotes(F.col("value")))
-        .select(_decoded("file_path").alias("path"))
+        .where(F.col("value").contains('"') & csv_records.open_after(F.col("value"), False))
+        .select(csv_records.decoded("file_path").alias("path"))
         .distinct()
     )
     return {row["path"] for row in hits.collect()}
 
 
-def _read_shape(spark: SparkSession, shape: HeaderShape, paths: list[str], multi_line: bool) -> DataFrame:
+def _read_shape(spark: SparkSession, shape: HeaderShape, paths: list[str], how: str) -> DataFrame:
     positions = [f"_c{i}" for i in range(len(shape.headers))]
-    cells = (
-        spark.read.schema(T.StructType([T.StructField(p, T.StringType()) for p in positions]))
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .csv(paths)
-    )
-    return normalize_columns(
-        cells.select("*", _decoded("file_name").alias("source_file")), shape, positions
-    )
+    schema = T.StructType([T.StructField(p, T.StringType()) for p in positions])
+    if how == RECORDS:
+        options = {"escape": '"', "mode": "PERMISSIVE", "multiLine": "true"}
+        cells = csv_records.read_records(spark, paths).select(
+            F.from_csv("record", schema.simpleString()[len("struct<"):-1].replace(":", " "), options)
+            .alias("cells"),
+            "source_file",
+        ).select("cells.*", "source_file")
+    else:
+        cells = (
+            spark.read.schema(schema)
+            .option("header", True)
+            .option("multiLine", how == WHOLE)
+            .option("escape", '"')
+            .option("mode", "PERMISSIVE")
+            .csv(paths)
+            .select("*", csv_records.decoded("file_name").alias("source_file"))
+        )
+    return normalize_columns(cells, shape, positions)
 
 
 def normalize_columns(df: DataFrame, shape: HeaderShape, positions: list[str],
@@ -204,17 +200,20 @@ def read_events(spark: SparkSession, files: list[SourceFile],
                 large_file_bytes: int = LARGE_FILE_BYTES) -> DataFrame:
     """All rows of all files as strings, with source_file and the absent columns of each row.
 
-    Cells may hold line breaks, and a file that has any must be read by one task. Large files are
-    therefore scanned for them first and, having none, are split.
+    Cells may hold line breaks. A small file is read by one task, which copes with them. Large
+    files are first scanned for them: without any, a file is split by lines, else by records.
     """
     large = [f.path for f in files if f.size > large_file_bytes]
     spanning = spanning_files(spark, large) if large else set()
-    whole = {f.path for f in files if f.size <= large_file_bytes or f.path in spanning}
-    groups: dict[tuple[HeaderShape, bool], list[str]] = {}
+    groups: dict[tuple[HeaderShape, str], list[str]] = {}
     for f in files:
+        if f.size <= large_file_bytes:
+            how = WHOLE
+        else:
+            how = RECORDS if f.path in spanning else LINES
         if f.shape.headers:
-            groups.setdefault((f.shape, f.path in whole), []).append(f.path)
-    frames = [_read_shape(spark, shape, paths, multi) for (shape, multi), paths in groups.items()]
+            groups.setdefault((f.shape, how), []).append(f.path)
+    frames = [_read_shape(spark, shape, paths, how) for (shape, how), paths in groups.items()]
     if not frames:
         columns = ["source_file", *EVENT_COLUMNS]
         empty = ", ".join(f"`{c}` string" for c in columns)

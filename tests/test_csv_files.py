@@ -1,5 +1,7 @@
+import csv
 import json
 import os
+import random
 from datetime import date, datetime
 
 import pytest
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import validate
 from clickloom.plans import build, ingest
-from clickloom.sources import csv_files
+from clickloom.sources import csv_files, csv_records
 from clickloom.sources.csv_files import HeaderShape, normalize_column_name, parse_header
 from clickloom.sources.tables import TableFolder
 
@@ -98,13 +100,40 @@ def test_large_files_split_only_without_inner_line_breaks(spark, folder):
     assert set(r["page_url"] for r in split.select("page_url").distinct().collect()) == {'u,"x"', "u\nv"}
 
 
+@pytest.mark.parametrize("block_bytes", [90, 400])
+def test_records_across_blocks(spark, folder, block_bytes):
+    """Random cells with quotes and line breaks, in blocks smaller than some records."""
+    rng = random.Random(block_bytes)
+    pieces = ["a", "b c", ",", '"', '""', "\n", "\n\n", "x,y", "'", "line\nbreak", ""]
+    rows = [["".join(rng.choices(pieces, k=rng.randrange(1, 7))) + "." for _ in range(7)] for _ in range(120)]
+    rows[60][5] = "\n".join(f'long "{i}", line' for i in range(60))
+    for name, part, end in (("a.csv", rows[:70], "\n"), ("b.csv", rows[70:], "\r\n")):
+        with open(os.path.join(folder, name), "w", encoding="utf-8", newline="") as f:
+            f.write(HEADER + end)
+            csv.writer(f, lineterminator=end).writerows(part)
+            f.write(f'last{name},stray"quote,,,,,ua')
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block_bytes))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        df = read(spark, folder, large_file_bytes=0)
+        got = sorted(tuple(r[c] for c in csv_files.EVENT_COLUMNS) for r in df.collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    order = [HEADER.split(",").index(c) for c in csv_files.EVENT_COLUMNS]
+    expected = [tuple(row[i] for i in order) for row in rows]
+    assert [r for r in got if r[1] != 'stray"quote'] == sorted(expected)
+    assert len(got) == len(rows) + 2
+
+
 @pytest.mark.parametrize("line,ends_open", [
     ('a,b', False), ('"a', True), ('"a"', False), ('"a""', True), ('x,"a,b', True), ('x,"a,b"', False),
     ('a"b,c', False), ('a"b,"c', True), ('"a"",b', True), ('"",""', False), ('"a,"",b",c', False),
 ])
 def test_quote_state_at_line_end(spark, line, ends_open):
     df = spark.createDataFrame([(line,)], "v string")
-    assert df.select(csv_files._ends_inside_quotes(F.col("v")).alias("o")).first()["o"] is ends_open
+    assert df.select(csv_records.open_after(F.col("v"), False).alias("o")).first()["o"] is ends_open
 
 
 def day_file(folder, name, day, rejects=1):
