@@ -14,7 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from clickloom import catalog
-from clickloom.catalog import GAP, WIDE_GAP
+from clickloom.catalog import GAP, RUN_TIMESTAMP, WIDE_GAP
 from clickloom.session import local_session
 from clickloom.sources.layers import Layers
 
@@ -38,6 +38,8 @@ def main() -> None:
     layers = Layers(spark, sf_dir)
     for name, make in {
         "raw": layers.raw,
+        "raw_events": layers.valid,
+        "pipeline_logs": lambda: layers.log(RUN_TIMESTAMP),
         "stg_events": layers.stg,
         "dim_user_map": layers.user_map,
         "dim_sessions": lambda: layers.sessions(GAP),

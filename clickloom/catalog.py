@@ -89,7 +89,7 @@ def ingest_derive_timestamp(layers: Layers) -> DataFrame:
 
 @_query
 def ingest_valid(layers: Layers) -> DataFrame:
-    return layers.valid()
+    return validate.valid_events(layers.annotated(), "event_id")
 
 
 @_query
@@ -97,13 +97,9 @@ def ingest_quarantine(layers: Layers) -> DataFrame:
     return validate.quarantined(layers.annotated(), "event_id", "source_file")
 
 
-def _log(layers: Layers) -> DataFrame:
-    return validate.file_log(layers.annotated(), RUN_TIMESTAMP)
-
-
 @_query
 def ingest_log(layers: Layers) -> DataFrame:
-    return _log(layers).drop("run_id")
+    return validate.file_log(layers.annotated(), RUN_TIMESTAMP).drop("run_id")
 
 
 @_query
@@ -134,8 +130,9 @@ def csv_ingest_quarantine(layers: Layers) -> DataFrame:
 @_query
 def header_report(layers: Layers) -> DataFrame:
     """Header drift by shape, with the rows of that shape."""
-    rows = _csv_annotated(layers).groupBy("source_file").agg(F.count("*").alias("n_rows"))
-    report = csv_files.header_report(layers.spark, layers.csv_files()).join(rows, "source_file")
+    files = layers.csv_files()
+    rows = csv_files.read_events(layers.spark, files).groupBy("source_file").agg(F.count("*").alias("n_rows"))
+    report = csv_files.header_report(layers.spark, files).join(rows, "source_file")
     shape = [
         F.array_join(c, "|").alias(c)
         for c in ("headers", "normalized_headers", "extra_columns", "missing_core")
@@ -495,16 +492,19 @@ def check_summary(layers: Layers) -> DataFrame:
 
 @_query
 def mon_logs_present(layers: Layers) -> DataFrame:
-    return monitors.logs_present(_log(layers), AS_OF)
+    return monitors.logs_present(layers.log(RUN_TIMESTAMP), AS_OF)
 
 
 @_query
 def mon_quarantine_rate(layers: Layers) -> DataFrame:
-    return monitors.quarantine_rate(_log(layers), AS_OF)
+    return monitors.quarantine_rate(layers.log(RUN_TIMESTAMP), AS_OF)
 
 
 def _quarantine(layers: Layers) -> DataFrame:
-    return validate.quarantined(layers.annotated(), "source_file")
+    """Source files with rejected rows, by the log."""
+    return layers.log(RUN_TIMESTAMP).where("rows_quarantined > 0").select(
+        F.col("filename").alias("source_file")
+    )
 
 
 @_query
@@ -552,7 +552,7 @@ def mon_unattributed(layers: Layers) -> DataFrame:
 @_query
 def mon_summary(layers: Layers) -> DataFrame:
     tables = {
-        "pipeline_logs": _log(layers),
+        "pipeline_logs": layers.log(RUN_TIMESTAMP),
         "quarantine": _quarantine(layers),
         "stg_events": layers.stg(),
         "dim_sessions": layers.sessions(GAP),

@@ -1,6 +1,6 @@
 """Derived tables shared by the registered queries of one session.
 
-Raw cells, staged events and the tables built from them are written once under the shared scratch
+Raw cells, accepted and staged events and the tables built from them are written once under the shared scratch
 folder and read back, as a warehouse keeps them: several branches of a query and many queries
 read them, each pruned to the columns it needs. A table is made again when the input changes.
 """
@@ -8,6 +8,7 @@ read them, each pruned to the columns it needs. A table is made again when the i
 from __future__ import annotations
 
 import threading
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -89,7 +90,17 @@ class Layers:
         return validate.annotate(self.raw())
 
     def valid(self) -> DataFrame:
-        return validate.valid_events(self.annotated(), "event_id")
+        """Accepted events, as ingest stores them."""
+        return self._written(
+            "raw_events", lambda: validate.valid_events(self.annotated(), "event_id")
+        )
+
+    def log(self, run_timestamp: datetime) -> DataFrame:
+        """Audit log of one ingest run over the source files."""
+        return self._written(
+            f"pipeline_logs_{run_timestamp:%Y%m%d%H%M%S}",
+            lambda: validate.file_log(self.annotated(), run_timestamp),
+        )
 
     def stg(self) -> DataFrame:
         return self._written("stg_events", lambda: stage.stage_events(self.valid(), "event_id"))
