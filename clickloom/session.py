@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_local_roots: dict[str, str] = {}
+
+
 def local_session(app: str = "clickloom", cores: int | str = "*", shuffle_partitions: int = 8,
                   driver_memory: str = "8g") -> SparkSession:
     """A session for tests and single-machine runs; clusters bring their own."""
@@ -38,8 +41,9 @@ def scratch_root(spark: SparkSession) -> str:
     if not root and not context.master.startswith("local"):
         root = spark.conf.get("spark.sql.warehouse.dir")
     if not root:
-        root = tempfile.mkdtemp(prefix="clickloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if context.applicationId not in _local_roots:
+            _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="clickloom-")
+        root = _local_roots[context.applicationId]
     return root.rstrip("/")
 
 

@@ -1,4 +1,4 @@
-"""Named tables in one folder: the written layers of a run."""
+"""Named tables, in one folder or in the session catalog."""
 
 from __future__ import annotations
 
@@ -49,3 +49,24 @@ class TableFolder(Mapping):
 
     def __len__(self) -> int:
         return sum(1 for _ in self)
+
+
+class CatalogTables(Mapping):
+    """Tables and views of the session catalog by name, read only."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self:
+            raise KeyError(name)
+        return self.spark.table(name)
+
+    def __contains__(self, name: object) -> bool:
+        return self.spark.catalog.tableExists(str(name))
+
+    def __iter__(self) -> Iterator[str]:
+        return iter([t.name for t in self.spark.catalog.listTables()])
+
+    def __len__(self) -> int:
+        return len(self.spark.catalog.listTables())

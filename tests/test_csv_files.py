@@ -8,10 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.operators import validate
-from clickloom.plans import build, ingest
+from clickloom.plans import build, ingest, monitors
 from clickloom.sources import csv_files, csv_records
 from clickloom.sources.csv_files import HeaderShape, normalize_column_name, parse_header
-from clickloom.sources.tables import TableFolder
+from clickloom.sources.tables import CatalogTables, TableFolder
 
 HEADER = "client_id,page_url,referrer,timestamp,event_name,event_data,user_agent"
 
@@ -191,6 +191,14 @@ def test_run_from_files_to_monitors(spark, folder):
                       "volume_anomaly": True, "missing_revenue": True, "funnel_health": True, "unattributed": True}
     assert spark.table("rpt_funnel_metrics").first()["total_sessions"] == 10
 
+    tables = TableFolder(spark, base)
+    assert {"stg_events", "dim_sessions", "pipeline_logs", "check_summary"} <= set(tables)
+    tables.register()
+    by_name = monitors.monitor_summary(monitors.monitor_results(spark, CatalogTables(spark), date(2024, 1, 2)))
+    assert {r["name"]: r["passed"] for r in by_name.collect()} == {**passed, "quarantine_files": True}
+    for name in [*tables, "rpt_funnel_metrics", "rpt_lead_velocity"]:
+        spark.catalog.dropTempView(name)
+
 
 def test_dry_run(spark, folder):
     day_file(folder, "a.csv", "2024-01-01", rejects=3)
