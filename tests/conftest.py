@@ -5,6 +5,11 @@ from datetime import datetime
 
 import pytest
 
+# short runs: cheap compilation matters more than fast code
+os.environ.setdefault(
+    "PYSPARK_SUBMIT_ARGS",
+    '--conf "spark.driver.extraJavaOptions=-XX:TieredStopAtLevel=1 -XX:+UseParallelGC" pyspark-shell',
+)
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from clickloom.session import local_session  # noqa: E402
