@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickloom.llm.chat import op5_chat_format
 from clickloom.llm.licenses import op7_licenses
 from clickloom.llm.mixing import op10_mixing
 from clickloom.llm.quality import op4_quality
@@ -13,7 +14,7 @@ from clickloom.llm.sharding import op1_sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op4_quality, op7_licenses, op10_mixing)}
+    return {f.__name__: f for f in (op1_sharding, op4_quality, op5_chat_format, op7_licenses, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
