@@ -30,7 +30,7 @@ WEIGHTS = (1, 2, 3)
 STEPS = 60
 PRECISION = 1e-9
 #: documents of one (source, size) are ranked in pieces of about so many
-PIECE = 4096
+PIECE = 256
 
 
 def size_of(text: Column) -> Column:
