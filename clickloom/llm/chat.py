@@ -13,6 +13,7 @@ empty table gives none; other columns play no part.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 
@@ -92,6 +93,7 @@ _loaded: dict[str, Tokenizer] = {}
 
 def tokenizer(path: str) -> Tokenizer:
     if path not in _loaded:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         t = Tokenizer.from_file(path)
         t.post_processor = processors.ByteLevel(trim_offsets=False)
         t.add_special_tokens([AddedToken(m, normalized=False) for m in (*map(header, MARKED_ROLES), CLOSE)])
@@ -109,8 +111,8 @@ def mask(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]) ->
 
 def _format_batch(batch: pa.RecordBatch, path: str) -> Iterator[dict]:
     tok = tokenizer(path)
-    for at in range(0, batch.num_rows, 256):
-        part = batch.slice(at, 256)
+    for at in range(0, batch.num_rows, 64):
+        part = batch.slice(at, 64)
         talks = [[(t["role"] or "", t["text"] or "") for t in turns] for turns in part["turns"].to_pylist()]
         rendered = [render(t) for t in talks]
         out = {n: [] for n in names_of(SCHEMA) if n not in ("conv_id", "text")}
@@ -142,14 +144,16 @@ DIGEST = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, los
 def _digest(batch: pa.RecordBatch) -> Iterator[dict]:
     """What can be read back from formatted conversations: the turns, and the text under the mask."""
     out: dict[str, list] = {n: [] for n in names_of(DIGEST)}
-    for row in batch.to_pylist():
-        turns = parse(row["text"])
-        masked = np.flatnonzero(row["loss_mask"])
+    for i in range(batch.num_rows):
+        text = batch["text"][i].as_py()
+        starts, ends, learned = (batch[c][i].values.to_numpy() for c in ("starts", "ends", "loss_mask"))
+        turns = parse(text)
+        masked = np.flatnonzero(learned)
         runs = np.split(masked, np.flatnonzero(np.diff(masked) > 1) + 1) if len(masked) else []
-        loss = "".join(unescape(row["text"][row["starts"][r[0]]:row["ends"][r[-1]]]) for r in runs)
-        whole = "".join(f"{role}\n{text}\n" for role, text in turns)
-        for name, value in zip(out, (row["conv_id"], len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss),
-                                     hashlib.sha256(loss.encode()).hexdigest(), len(row["text"]), len(row["ids"]), len(masked))):
+        loss = "".join(unescape(text[starts[r[0]]:ends[r[-1]]]) for r in runs)
+        whole = "".join(f"{role}\n{content}\n" for role, content in turns)
+        for name, value in zip(out, (batch["conv_id"][i].as_py(), len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss),
+                                     hashlib.sha256(loss.encode()).hexdigest(), len(text), len(learned), len(masked))):
             out[name].append(value)
     kinds = {"turns_sha256": pa.string(), "loss_sha256": pa.string()}
     yield {n: pa.array(v, kinds.get(n, pa.int64())) for n, v in out.items()}
