@@ -13,11 +13,12 @@ from clickloom.llm.neighbours import op9_neighbours
 from clickloom.llm.packing import op2_packing
 from clickloom.llm.quality import op4_quality
 from clickloom.llm.sharding import op1_sharding
+from clickloom.llm.suffixes import op6_suffix_dedup
 from clickloom.llm.toxicity import op3_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_packing, op3_toxicity, op4_quality, op5_chat_format, op7_licenses, op9_neighbours, op10_mixing)}
+    return {f.__name__: f for f in (op1_sharding, op2_packing, op3_toxicity, op4_quality, op5_chat_format, op6_suffix_dedup, op7_licenses, op9_neighbours, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
