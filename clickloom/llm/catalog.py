@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clickloom.llm.chat import op5_chat_format
 from clickloom.llm.licenses import op7_licenses
 from clickloom.llm.mixing import op10_mixing
+from clickloom.llm.near import op8_near_dedup
 from clickloom.llm.neighbours import op9_neighbours
 from clickloom.llm.packing import op2_packing
 from clickloom.llm.quality import op4_quality
@@ -18,7 +19,7 @@ from clickloom.llm.toxicity import op3_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_packing, op3_toxicity, op4_quality, op5_chat_format, op6_suffix_dedup, op7_licenses, op9_neighbours, op10_mixing)}
+    return {f.__name__: f for f in (op1_sharding, op2_packing, op3_toxicity, op4_quality, op5_chat_format, op6_suffix_dedup, op7_licenses, op8_near_dedup, op9_neighbours, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
