@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from clickloom.llm.setsketch import REGISTERS, jaccard, registers
 from clickloom.llm.tables import by_batch, names_of, stored, table
@@ -198,9 +198,16 @@ class Near:
         return x.join(y, "key").where((F.col("x_label") != F.col("y_label")) & enough).select(
             F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
 
+    def labelled(self) -> DataFrame:
+        return self.nodes.join(self.labels(), "node", "left").select("s1", "s2", "id", "text_hash", F.coalesce("label", "node").alias("label"))
+
+    def keepers(self) -> DataFrame:
+        """Id and text hash of one document of each component; documents without words are in none."""
+        return self.labelled().groupBy("label").agg(F.min(F.struct("id", "text_hash")).alias("first")).select("first.*")
+
     def components(self) -> DataFrame:
         """Each document row's id, n_shingles, component_id and kept."""
-        labelled = self.nodes.join(self.labels(), "node", "left").select("s1", "s2", "id", F.coalesce("label", "node").alias("label"))
+        labelled = self.labelled()
         least = labelled.groupBy("label").agg(F.min("id").alias("component"), F.count("*").alias("members")).where("members > 1")
         named = stored(labelled.join(least, "label", "left").select("s1", "s2", F.coalesce("component", "id").alias("component")), "near-named")
         rows = self.sketches.select("id", "text_hash", "n", "s1", "s2").join(named, ["s1", "s2"], "left").withColumn(
@@ -214,5 +221,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return Near(docs, key, text).components().drop("text_hash")
 
 
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The table with one row of each component, and all rows whose text has no word."""
+    word = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    keepers = stored(Near(docs, key, text).keepers().select(F.col("id").alias("keep_id"), F.col("text_hash").alias("keep_hash")), "near-keepers")
+    id_, hash_, row = (F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(F.col(text)).alias("text_hash"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = docs.where(word).select(id_, hash_, row).join(keepers, (F.col("id") == F.col("keep_id")) & (F.col("text_hash") == F.col("keep_hash")))
+    # of rows repeated in id and text, one
+    one = rows.withColumn("at", F.row_number().over(Window.partitionBy("id", "text_hash").orderBy(F.lit(1)))).where("at = 1")
+    return one.select("row.*").unionByName(docs.where(~word))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

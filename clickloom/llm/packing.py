@@ -137,6 +137,7 @@ def _pack(path: str):
                 made = packer.add(batch["doc_id"].slice(block.first, block.n), *words.encode(block))
                 if made is not None:
                     yield made
+            pa.default_memory_pool().release_unused()
         if (made := packer.rest()) is not None:
             yield made
 

@@ -150,6 +150,12 @@ def judge(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
         (~failed & F.coalesce(far <= CUT, F.lit(False))).alias("kept")).alias(free_name(docs, "quality")))
 
 
+def good_documents(docs: DataFrame) -> DataFrame:
+    """The rows of the table that are kept."""
+    name = free_name(docs, "quality")
+    return judge(docs).where(F.col(f"{name}.kept")).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"), keep=["doc_id"]).select(
         "doc_id", *[f"quality.{c}" for c in COUNTS[:5]], "quality.base_failed", "quality.kept", "quality.distance")

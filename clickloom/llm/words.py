@@ -37,7 +37,7 @@ LOWER = EXACT.copy()
 LOWER[65:91] = EXACT[97:123]
 
 
-def _byte_set(*ranges: tuple[int, int]) -> np.ndarray:
+def byte_set(*ranges: tuple[int, int]) -> np.ndarray:
     table = np.zeros(256, bool)
     for low, high in ranges:
         table[low:high + 1] = True
@@ -45,9 +45,9 @@ def _byte_set(*ranges: tuple[int, int]) -> np.ndarray:
 
 
 #: bytes of words between ASCII white space, and bytes of words of letters and digits
-NOT_SPACE = ~_byte_set((0x20, 0x20), (0x09, 0x0D))
-ALNUM = ~_byte_set((0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F))
-ALNUM_LOWER = ~_byte_set((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F)) | _byte_set((0x41, 0x5A))
+NOT_SPACE = ~byte_set((0x20, 0x20), (0x09, 0x0D))
+ALNUM = ~byte_set((0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F))
+ALNUM_LOWER = ~byte_set((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F)) | byte_set((0x41, 0x5A))
 
 
 def _tables(size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -85,15 +85,24 @@ class Block:
 
     def spans(self, inside: np.ndarray) -> Spans:
         """Maximal runs of bytes that ``inside`` allows, within documents."""
-        good = inside[self.data]
-        fresh = np.ones(len(good) + 1, bool)  # no run goes on from the byte before
-        fresh[1:] = ~np.append(good, False)[:-1]
-        fresh[self.bounds] = True
-        starts = np.flatnonzero(good & fresh[:-1])
-        stop = fresh[1:].copy()
-        stop[:-1] |= ~good[1:]
-        stop[-1:] = True
-        ends = np.flatnonzero(good & stop) + 1
+        return self.runs(inside[self.data])
+
+    def runs(self, good: np.ndarray, cuts: np.ndarray | None = None) -> Spans:
+        """Maximal runs of good bytes within documents, also divided before the bytes at ``cuts``."""
+        edges = np.flatnonzero(good[1:] != good[:-1]) + 1
+        if len(good) and good[0]:
+            edges = np.append(0, edges)
+        if len(good) and good[-1]:
+            edges = np.append(edges, len(good))
+        starts, ends = edges[::2], edges[1::2]
+        inner = np.unique(self.bounds[1:-1])
+        inner = inner[(inner > 0) & (inner < len(good))]
+        inner = inner[good[inner] & good[inner - 1]]
+        if cuts is not None:
+            inner = np.union1d(inner, cuts)
+        if len(inner):
+            at = np.searchsorted(ends, inner)
+            starts, ends = np.insert(starts, at + 1, inner), np.insert(ends, at, inner)
         return Spans(starts, ends, np.searchsorted(starts, self.bounds))
 
     def lines(self) -> Spans:
@@ -145,7 +154,9 @@ def blocks(column: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES) -> Iter
     """Blocks of a text column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    column = column.cast(pa.large_string())
+    if column.null_count:
+        column = pc.fill_null(column, "")
     n = len(column)
     bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + n + 1] if n else np.zeros(1, np.int64)
     data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
