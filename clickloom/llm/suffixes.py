@@ -123,6 +123,8 @@ def repeated(suffixes: DataFrame, name: str) -> DataFrame:
     near = stored(suffixes.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_twins, SUFFIX), name)
     runs = near.groupBy("key").agg(F.count("*").alias("n"), F.min("around").alias("low"), F.max("around").alias("high"),
                                    F.min(F.struct(*ROW, "place")).alias("head")).where("n > 1")
+    # written, so that both sides of the join are plain shuffles, of which adaptive execution splits a long run
+    runs = stored(runs, f"{name}-runs")
     return near.join(runs, "key").select(
         *ROW, "place", "reach", (F.col("low") == F.col("high")).alias("even"), (F.struct(*ROW, "place") > F.col("head")).alias("later"))
 
