@@ -22,13 +22,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from clickloom.llm.tables import free_name, stored, table
+from clickloom.llm.tables import stored, table
 
 SEED = 20250310
 MOST = 3
 WEIGHTS = (1, 2, 3)
 STEPS = 60
 PRECISION = 1e-9
+OWN = ("size", "source_size", "target", "copies")
 #: documents of one (source, size) are ranked in pieces of about so many
 PIECE = 256
 
@@ -154,12 +155,11 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", key: str =
     none = goals.select(F.col("source").alias("plan_source"), F.lit(0).cast("long").alias("plan_size"), F.lit(1).cast("long").alias("each"),
                         F.lit(None).cast("long").alias("cut"), "source_size", "target")
 
-    kept = docs.drop(*[c for c in docs.columns if c in ("size", "source_size", "target", "copies") and c not in (source, text, key)])
-    size, mark = free_name(kept, "mix_size"), free_name(kept, "mix_hash")
-    measured = kept.withColumns({size: size_of(F.col(text)), mark: own})
-    joined = measured.join(plan.unionByName(none), F.col(source).eqNullSafe(F.col("plan_source")) & (F.col(size) == F.col("plan_size")))
-    copies = F.col("each") + F.coalesce((F.col(mark) <= F.col("cut")).cast("long"), F.lit(0))
-    return joined.select(*[F.col(f"`{c}`") for c in kept.columns], F.col(size).alias("size"), "source_size", "target", copies.alias("copies"))
+    measured = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(source).alias("doc_source"),
+                           size_of(F.col(text)).alias("size"), own.alias("h"))
+    joined = measured.join(plan.unionByName(none), F.col("doc_source").eqNullSafe(F.col("plan_source")) & (F.col("size") == F.col("plan_size")))
+    copies = F.col("each") + F.coalesce((F.col("h") <= F.col("cut")).cast("long"), F.lit(0))
+    return joined.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in OWN], "size", "source_size", "target", copies.alias("copies"))
 
 
 def expand(mixed: DataFrame, columns: list[str]) -> DataFrame:

@@ -137,16 +137,15 @@ def judge(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
     slim = stored(measured, "quality-counts")
     estimates = fit(slim.where(~base_failed(F.col("c"))).select("pair", "lang", *[v.alias(f"x{i}") for i, v in enumerate(vector(F.col("c")))]))
     if keep is None:
-        pair, counts = free_name(docs, "quality_pair"), free_name(docs, "quality_counts")
-        rows = docs.select("*", _key(lang, source).alias(pair), text_counts(F.col(text)).alias(counts))
-        columns = [F.col(f"`{c}`") for c in docs.columns]
+        rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _key(lang, source).alias("pair"),
+                           text_counts(F.col(text)).alias("c"))
+        columns = [F.col("row")[c].alias(c) for c in docs.columns]
     else:
-        pair, counts, rows = "pair", "c", slim
-        columns = [F.col(f"keep_{i}").alias(k) for i, k in enumerate(keep)]
-    judged = rows.join(_small(estimates.withColumnRenamed("pair", "fit_pair")), F.col(pair) == F.col("fit_pair"), "left")
-    failed, far = base_failed(F.col(counts)), distance(vector(F.col(counts)))
+        rows, columns = slim, [F.col(f"keep_{i}").alias(k) for i, k in enumerate(keep)]
+    judged = rows.join(_small(estimates.withColumnRenamed("pair", "fit_pair")), F.col("pair") == F.col("fit_pair"), "left")
+    failed, far = base_failed(F.col("c")), distance(vector(F.col("c")))
     return judged.select(*columns, F.struct(
-        F.col(f"{counts}.*"), failed.alias("base_failed"), far.alias("distance"),
+        F.col("c.*"), failed.alias("base_failed"), far.alias("distance"),
         (~failed & F.coalesce(far <= CUT, F.lit(False))).alias("kept")).alias(free_name(docs, "quality")))
 
 
