@@ -7,8 +7,9 @@ at the threshold is missed by all bands with a chance of 2 in a million.
 Groups of copies never become pairs of all with all. Equal sets are one node. In each bucket of a band the members are
 compared with one pivot: the member met most often in crowded buckets, such as the text that many variants come from.
 Linked nodes get a common label. What a bucket still holds under other labels is compared with all the rest of it, unless
-it cannot be similar: with c(x) the shingles of x that stand in another of these sets too, x and y share at most
-min(c(x), c(y)), which edits of their own lower fast. So every link between labels that the bands can show is found.
+it cannot be similar: shingles are divided into classes by the number of nodes that hold them, those of one label left
+out; x and y share at most the sum of min(x, y) over the classes, and variants differ in the rare ones. So every link
+between labels that the bands can show is found.
 
 Shingles are hashed to 64 bits to make sets, of which 40 are kept for comparing two of them.
 
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from clickloom.llm.setsketch import REGISTERS, jaccard, registers
 from clickloom.llm.tables import by_batch, names_of, stored, table
@@ -34,6 +35,8 @@ WIDTH = 5
 #: links have 100 * shared >= PERCENT * united; candidates estimated below LIKELY are not confirmed, 5 deviations lower
 PERCENT, LIKELY = 75, 0.45
 ROWS = 3
+#: classes of shingles by the nodes that hold them: 2, 3, 4 or 5, 6 or 7 and on by the root of 2; the last takes the rest
+CLASSES = 32
 BANDS = REGISTERS // ROWS
 NO_ID = (1 << 63) - 1
 
@@ -105,7 +108,8 @@ def _likely(batch: pa.RecordBatch) -> Iterator[dict]:
 
 def _single(batch: pa.RecordBatch) -> Iterator[dict]:
     parts = [_elements(x.as_py()) for x in batch["elements"]]
-    yield {"node": batch["node"].take(pa.array(np.repeat(np.arange(len(parts)), [len(p) for p in parts]))),
+    at = pa.array(np.repeat(np.arange(len(parts)), [len(p) for p in parts]))
+    yield {"node": batch["node"].take(at), "label": batch["label"].take(at),
            "element": np.concatenate([np.empty(0, np.uint64), *parts]).view(np.int64)}
 
 
@@ -148,10 +152,14 @@ class Near:
         same = self.sketches.where("n > 0").groupBy("s1", "s2").agg(F.min(F.struct("id", "text_hash", "n", "registers")).alias("r"))
         self.nodes = stored(same.select("s1", "s2", "r.*", F.monotonically_increasing_id().alias("node")), "near-nodes")
 
+    @staticmethod
+    def bands() -> list[Column]:
+        return [F.substring("registers", 2 * ROWS * i + 1, 2 * ROWS) for i in range(BANDS)]
+
     def hits(self) -> DataFrame:
-        """Nodes in buckets with others: key, node, n and the bucket's count."""
-        band = F.posexplode(F.array(*[F.xxhash64(F.substring("registers", 2 * ROWS * i + 1, 2 * ROWS), F.lit(i)) for i in range(BANDS)]))
-        rows = self.nodes.select("node", "n", band.alias("band", "key")).drop("band")
+        """Nodes in buckets with others: key, band, node, n and the bucket's count."""
+        band = F.posexplode(F.array(*[F.xxhash64(part, F.lit(i)) for i, part in enumerate(self.bands())]))
+        rows = self.nodes.select("node", "n", band.alias("band", "key"))
         crowded = rows.groupBy("key").count().where("count > 1")
         return stored(rows.join(crowded, "key"), "near-hits")
 
@@ -179,23 +187,30 @@ class Near:
     def _between(self, hits: DataFrame, labels: DataFrame) -> DataFrame:
         """Pairs in one bucket under different labels that could be similar."""
         label = F.coalesce("label", "node").alias("label")
-        marked = hits.select("key", "node", "n").join(labels, "node", "left").select("key", "node", "n", label)
+        marked = hits.join(labels, "node", "left").select("key", "band", "node", "n", label)
         # buckets of one label are done; counts by label come first, so that no bucket is gathered
         parts = marked.groupBy("key", "label").count()
         main = parts.groupBy("key").agg(F.max(F.struct("count", "label")).alias("m"), F.count("*").alias("labels")).where("labels > 1").select(
             "key", F.col("m.label").alias("main"))
         mixed = stored(marked.join(main, "key"), "near-mixed")
-        # a shingle that one node alone holds cannot be shared
-        kept = self.sets.join(mixed.select("node").distinct(), "node")
-        own = kept.mapInArrow(by_batch(_single, ["node", "element"]), "node long, element long").groupBy("element").agg(
-            F.count("*").alias("count"), F.min("node").alias("node")).where("count = 1").groupBy("node").agg(F.count("*").alias("own"))
-        able = mixed.join(own, "node", "left").withColumn("c", F.col("n") - F.coalesce("own", F.lit(0))).where(
-            100 * F.col("c") >= PERCENT * F.col("n")).select("key", "node", "n", "label", "main", "c")
-        able = stored(able, "near-able")
-        x = able.where("label <> main").select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "label", "c")])
-        y = able.select("key", *[F.col(c).alias(f"y_{c}") for c in ("node", "n", "label", "c")])
-        enough = (100 + PERCENT) * F.least("x_c", "y_c") >= PERCENT * (F.col("x_n") + F.col("y_n"))
-        return x.join(y, "key").where((F.col("x_label") != F.col("y_label")) & enough).select(
+        labelled = mixed.select("node", "label").distinct()
+        elements = stored(self.sets.join(labelled, "node").select("node", "label", "elements").mapInArrow(
+            by_batch(_single, ["node", "label", "element"]), "node long, label long, element long"), "near-elements")
+        # how many nodes hold a shingle; what one label alone holds is not shared with others
+        held = elements.groupBy("element").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("holders")).where("low <> high")
+        held = stored(held.select("element", F.least(F.floor(2 * F.log2("holders")) - 1, F.lit(CLASSES)).alias("class")), "near-held")
+        by_class = elements.join(held, "element").groupBy("node").agg(*[F.count_if(F.col("class") == k).alias(f"c{k}") for k in range(1, CLASSES + 1)])
+        classes = [f"c{k}" for k in range(1, CLASSES + 1)]
+        able = mixed.join(by_class, "node").where(100 * sum((F.col(c) for c in classes), F.lit(0)) >= PERCENT * F.col("n"))
+        prints = self.nodes.select("node", F.array(*[F.hash(part) for part in self.bands()]).alias("bands"))
+        able = stored(able.join(prints, "node").select("key", "band", "node", "n", "label", "main", "bands", *classes), "near-able")
+        x, y = (rows.select("key", F.col("band").alias(f"{end}_band"), *[F.col(c).alias(f"{end}_{c}") for c in ("node", "n", "label", "bands", *classes)])
+                for end, rows in (("x", able.where("label <> main")), ("y", able)))
+        most = sum((F.least(f"x_{c}", f"y_{c}") for c in classes), F.lit(0))
+        enough = (100 + PERCENT) * most >= PERCENT * (F.col("x_n") + F.col("y_n"))
+        # a pair comes from the first band in which it agrees
+        first = F.coalesce(*[F.when(F.col("x_bands")[i] == F.col("y_bands")[i], i) for i in range(BANDS)])
+        return x.join(y, "key").where((F.col("x_label") != F.col("y_label")) & enough & (first == F.col("x_band"))).select(
             F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
 
     def labelled(self) -> DataFrame:
