@@ -19,7 +19,9 @@ from clickloom.llm.toxicity import op3_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_packing, op3_toxicity, op4_quality, op5_chat_format, op6_suffix_dedup, op7_licenses, op8_near_dedup, op9_neighbours, op10_mixing)}
+    return {f.__name__: f for f in (
+        op1_sharding, op2_packing, op3_toxicity, op4_quality, op5_chat_format, op6_suffix_dedup, op7_licenses, op8_near_dedup,
+        op9_neighbours, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:

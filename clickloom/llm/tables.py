@@ -2,18 +2,43 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+import clickloom
 from clickloom.session import scratch_path
 
 Batches = Iterator[pa.RecordBatch]
 
 
+#: bytes of an Arrow batch: documents are long, and a worker holds a few copies of a batch
+BATCH_BYTES = 4 << 20
+_shipped: set[str] = set()
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Makes a session ready for these operators, once: tasks can import the package, and Arrow batches are bounded."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = Path(clickloom.__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="clickloom-")) / "clickloom.zip"  # the driver's; Spark hands it to executors
+        with zipfile.ZipFile(archive, "w") as out:
+            for path in sorted(package.rglob("*.py")):
+                out.write(path, path.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _shipped.add(application)
+    if int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) > BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
