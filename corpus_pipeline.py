@@ -14,26 +14,31 @@ from clickloom.llm.near import deduplicated
 from clickloom.llm.packing import pack
 from clickloom.llm.quality import good_documents
 from clickloom.llm.suffixes import cut
-from clickloom.llm.tables import stored, table
+from clickloom.llm.tables import prepare, stored, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return good_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return deduplicated(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return cut(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return expand(mix(docs), docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return pack(docs)
 
 
