@@ -116,23 +116,36 @@ def _single(batch: pa.RecordBatch) -> Iterator[dict]:
 def connected(links: DataFrame) -> DataFrame:
     """node and label (the least node of its component) for all nodes of links (a, b).
 
-    Each round a node takes the least label among its neighbours and then the label of that label's node, so chains
-    shorten by half; rounds end when no label changes.
+    Each round a node takes the least label among its neighbours, then the label that node had, so chains shorten fast;
+    rounds end when no label changes.
     """
     both = stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "near-edges")
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")), "near-labels")
     while True:
         around = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("least"))
-        hooked = labels.join(around, F.col("node") == F.col("a"), "left").select(
-            "node", F.col("label").alias("old"), F.least("label", F.coalesce("least", "label")).alias("label"))
-        hooked = stored(hooked, "near-hooked")
-        target = hooked.select(F.col("node").alias("to"), F.col("label").alias("beyond"))
-        moved = stored(hooked.join(target, F.col("label") == F.col("to")).select("node", "old", F.least("label", "beyond").alias("label")), "near-labels")
+        hooked = labels.join(around, F.col("node") == F.col("a")).select(
+            "node", F.col("label").alias("old"), F.least("label", "least").alias("label"))
+        beyond = labels.select(F.col("node").alias("to"), F.col("label").alias("beyond"))
+        moved = stored(hooked.join(beyond, F.col("label") == F.col("to")).select("node", "old", F.least("label", "beyond").alias("label")), "near-labels")
         labels = moved.select("node", "label")
         if moved.where("old <> label").isEmpty():
             return labels
 
 
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after more links: only the links between labels are followed, then labels are replaced."""
+    def label_of(end: str) -> DataFrame:
+        return labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label"))
+
+    ends = links.join(label_of("a"), "a", "left").join(label_of("b"), "b", "left").select(
+        F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b"))
+    least = connected(ends).select(F.col("node").alias("from"), F.col("label").alias("least"))
+    replaced = labels.join(least, F.col("label") == F.col("from"), "left").select("node", F.coalesce("least", "label").alias("label"))
+    # nodes that had no label are labels of their own so far
+    fresh = least.join(labels, F.col("from") == F.col("node"), "left_anti").select(F.col("from").alias("node"), F.col("least").alias("label"))
+    return stored(replaced.unionByName(fresh), "near-labels")
+
+
 def _ends(pairs: DataFrame, nodes: DataFrame, columns: list[str]) -> DataFrame:
     """Pairs (a, b) with the named columns of both ends."""
     def named(end: str) -> DataFrame:
@@ -182,7 +195,7 @@ class Near:
         links = stored(self.confirm(star), "near-links")
         first = connected(links)
         more = stored(self.confirm(self._between(hits, first)), "near-links")
-        return first if more.isEmpty() else connected(links.unionByName(more))
+        return first if more.isEmpty() else joined(first, more)
 
     def _between(self, hits: DataFrame, labels: DataFrame) -> DataFrame:
         """Pairs in one bucket under different labels that could be similar."""
