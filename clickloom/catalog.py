@@ -17,9 +17,10 @@ from clickloom.functions import clock, keys, text, web
 from clickloom.operators import (
     attribution, identity, leads, matching, orders, sessions as session_ops, stage, validate,
 )
-from clickloom.plans import checks, monitors, reports
+from clickloom.plans import checks, ingest, monitors, reports
 from clickloom.sources import csv_files
 from clickloom.sources.layers import Layers
+from clickloom.sources.tables import TableFolder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -140,6 +141,68 @@ def header_report(layers: Layers) -> DataFrame:
     return report.groupBy(*shape).agg(F.sum("n_rows").alias("n_rows"))
 
 
+def _ingested(layers: Layers) -> TableFolder:
+    """The CSV files ingested twice: the second run replaces the rows of the first and logs again."""
+    pattern = layers.csv_pattern()
+
+    def fill(base: str) -> None:
+        for _ in range(2):
+            ingest.ingest(layers.spark, pattern, base, run_timestamp=RUN_TIMESTAMP)
+
+    return layers.tables("ingested", fill)
+
+
+@_query
+def ingest_landed_events(layers: Layers) -> DataFrame:
+    return ingest.raw_events(_ingested(layers)).drop("source_file")
+
+
+@_query
+def ingest_landed_quarantine(layers: Layers) -> DataFrame:
+    return ingest.quarantine(_ingested(layers)).drop("source_file")
+
+
+@_query
+def ingest_landed_log(layers: Layers) -> DataFrame:
+    """Totals of each of the two runs."""
+    return _ingested(layers)[ingest.LOGS].groupBy("run_id").agg(
+        *[F.sum(c).alias(c) for c in ("rows_read", "rows_inserted", "rows_quarantined")]
+    ).drop("run_id")
+
+
+@_query
+def ingest_absent_columns(layers: Layers) -> DataFrame:
+    """No row has user_agent, some files lack page_url, timestamps are NULL or blank at times."""
+    lacking = layers.raw().drop("user_agent").withColumns({
+        "timestamp": F.expr("CASE event_id % 7 WHEN 0 THEN NULL WHEN 1 THEN '  ' ELSE timestamp END"),
+        validate.ABSENT: F.expr("CASE WHEN event_id % 11 = 0 THEN array('page_url') ELSE array() END"),
+    })
+    return validate.quarantined(validate.annotate(lacking), "event_id").select("event_id", "error_reason")
+
+
+# Suffixes that spell one moment in several ways: (format of the stamp, what follows, hours to subtract).
+STAMPS = (
+    ("yyyy-MM-dd'T'HH:mm", "+02:00", 2), ("yyyy-MM-dd'T'HH", "+02", 2), ("yyyyMMdd'T'HHmmss", "Z", 0),
+    ("yyyyMMdd'T'HHmmss", "+0200", 2), ("yyyy-MM-dd'T'HH:mm:ss", ",000z", 0), ("yyyy-MM-dd HH:mm:ss", " GMT-3", -3),
+    ("yyyy-MM-dd HH:mm:ss", " EST", -5), ("yyyy-MM-dd HH:mm", "", 0), ("yyyy-MM-dd HH:mm:ss", " Nowhere/There", None),
+    ("HH:mm", "", None),
+)
+
+
+@_query
+def parse_timestamps(layers: Layers) -> DataFrame:
+    spelled = F
+    for number, (pattern, end, _) in enumerate(STAMPS):
+        spelled = spelled.when(F.col("event_id") % len(STAMPS) == number, F.concat(F.date_format("timestamp", pattern), F.lit(end)))
+    return layers.valid().select("event_id", clock.parse_timestamp(spelled).alias("parsed"))
+
+
+@_query
+def order_quantity_text(layers: Layers) -> DataFrame:
+    text = F.concat((F.col("event_id") % 10).cast("string"), F.lit("."), (F.col("event_id") % 4 * 25).cast("string"))
+    return layers.valid().select("event_id", orders.whole_number(text).alias("quantity"))
+
+
 # --- staging --------------------------------------------------------------------------------
 
 

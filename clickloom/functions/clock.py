@@ -40,8 +40,9 @@ EXTRA_DATE_FORMATS = (
     (r"^[0-9]{4}/", "yyyy/M/d[ H:mm[:ss[.SSS]]]"),
     (r"^[0-9]{1,2} [A-Za-z]", "d MMM yyyy[ H:mm[:ss]]"),
     (r"^[A-Za-z]{3} ", "MMM d, yyyy[ H:mm[:ss]]"),
-    (r"^[0-9]{8}", "yyyyMMdd['T'HHmmss]"),
+    (r"^[0-9]{8}$", "yyyyMMdd"),
 )
+DAY_FIRST_FORMAT = "d/M/yyyy[ H:mm[:ss[.SSS]]]"  # where the first number is no month
 
 
 def _utc_wall_clock(instant: Column) -> Column:
@@ -50,26 +51,46 @@ def _utc_wall_clock(instant: Column) -> Column:
     )
 
 
+def _iso(text: Column) -> Column:
+    """ISO 8601 variants in the spelling that casts know: dashes, minutes, a dot before the fraction."""
+    text = F.regexp_replace(text, r"^([0-9]{4})([0-9]{2})([0-9]{2})([T ])", "$1-$2-$3$4")
+    text = F.regexp_replace(text, r"^([0-9-]+[T ][0-9]{2})([0-9]{2})([0-9]{2})", "$1:$2:$3")
+    text = F.regexp_replace(text, r"^([0-9-]+[T ][0-9]{2})([0-9]{2})($|[^0-9])", "$1:$2$3")
+    text = F.regexp_replace(text, r"^([0-9-]+[T ][0-9]{1,2})($|[^0-9:])", "$1:00$2")
+    return F.regexp_replace(text, r"^([0-9-]+[T ][0-9:]+),([0-9]+)", "$1.$2")
+
+
+def _zone(text: Column) -> Column:
+    """Zones in the spelling that casts know: ``Z``, ``+hh:mm`` or a region's name."""
+    offset = F.regexp_replace(text, r"^(?:UTC|GMT)(?=[+-])", "")
+    offset = F.regexp_replace(offset, r"^([+-])([0-9])($|:)", "$10$2$3")
+    offset = F.regexp_replace(offset, r"^([+-][0-9]{2})([0-9]{2})$", "$1:$2")
+    offset = F.regexp_replace(offset, r"^([+-][0-9]{2})$", "$1:00")
+    return F.when(F.upper(text) == "Z", "Z").otherwise(offset)
+
+
 def parse_timestamp(text: Column) -> Column:
     """Trimmed text to TIMESTAMP_NTZ in UTC, NULL where it is not a date and time.
 
-    A trailing ``Z`` keeps the wall clock, an explicit offset is converted to UTC, and text
-    without a zone is taken as UTC. Time-only text is refused.
+    An offset or a named zone is converted to UTC; text without a zone is taken as UTC. A zone that
+    is unknown makes the text no timestamp, as does time-only text.
     """
-    starts_with_year = text.rlike(r"^[0-9]{4}([^0-9]|$)")
-    has_offset = text.rlike(r"[T ][0-9:.]+ ?[+-][0-9]{2}(:?[0-9]{2})?$")
-    # '+0530' is legal ISO 8601 but the cast wants '+05:30'
-    colon_offset = F.regexp_replace(text, r"([+-][0-9]{2})([0-9]{2})$", "$1:$2")
+    starts_with_year = text.rlike(r"^[0-9]{4}([^0-9/]|$)|^[0-9]{8}[T ]")
+    plain = _iso(text)
+    parts = r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[T ][0-9:.]+) ?([A-Za-z+-].*)$"
+    zone = F.regexp_extract(plain, parts, 2)
+    clock_time = F.regexp_replace(F.regexp_extract(plain, parts, 1), r"^([0-9-]+[T ][0-9]{1,2}:[0-9]{1,2})$", "$1:00")
+    zoned = F.concat(clock_time, F.when(zone.rlike("^[A-Za-z]{2}"), " ").otherwise(""), _zone(zone))
     iso = F.when(
         starts_with_year,
-        F.when(has_offset, _utc_wall_clock(colon_offset.try_cast("timestamp")))
-        .otherwise(text.try_cast("timestamp_ntz")),
+        F.when(zone != "", _utc_wall_clock(zoned.try_cast("timestamp"))).otherwise(plain.try_cast("timestamp_ntz")),
     )
     # the shape picks one format, so other text is refused without a parsing attempt
     spelling = F
     for shape, fmt in EXTRA_DATE_FORMATS:
         spelling = spelling.when(text.rlike(shape), fmt)
-    return F.coalesce(iso, F.try_to_timestamp(text, spelling).cast("timestamp_ntz"))
+    day_first = F.when(text.rlike(r"^(1[3-9]|[23][0-9])/"), DAY_FIRST_FORMAT)
+    return F.coalesce(iso, F.try_to_timestamp(text, F.coalesce(day_first, spelling)).cast("timestamp_ntz"))
 
 
 def epoch_number_to_timestamp(number: Column) -> Column:

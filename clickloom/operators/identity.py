@@ -38,7 +38,7 @@ def with_user(df: DataFrame, user_map: DataFrame) -> DataFrame:
 
 
 def _is_small(df: DataFrame, limit_bytes: int) -> bool:
-    """Whether the optimizer's size estimate, an upper bound for a stored table, is within the limit."""
+    """Whether the optimizer's size estimate is within the limit; in memory a stored table may be several times larger."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
     return int(str(stats.sizeInBytes())) <= limit_bytes
 
@@ -55,9 +55,16 @@ def identity_join(stg: DataFrame, user_map: DataFrame,
         return with_user(stg, F.broadcast(user_map))
     minute = epoch_minute(F.col("timestamp"))
     active = stg.select("client_id", minute.alias("minute_no")).distinct()
-    resolved = with_user(active, user_map)
+    resolved = with_user(active, user_map).select(
+        F.col("client_id").alias("resolved_id"), F.col("minute_no").alias("resolved_minute"), "master_user_id"
+    )
+    # null-safe: an event without time has no minute, but a device
     return (
         stg.withColumn("minute_no", minute)
-        .join(resolved, ["client_id", "minute_no"], "left")
-        .drop("minute_no")
+        .join(
+            resolved,
+            F.col("client_id").eqNullSafe(F.col("resolved_id")) & F.col("minute_no").eqNullSafe(F.col("resolved_minute")),
+            "left",
+        )
+        .drop("minute_no", "resolved_id", "resolved_minute")
     )

@@ -33,6 +33,12 @@ def _field(name: str) -> Column:
     return F.get_json_object("item_json", f"$.{name}")
 
 
+def whole_number(text: Column, on_bad_number: str = "error") -> Column:
+    """Text to a whole number; halves are rounded away from zero."""
+    number = text.try_cast("double") if on_bad_number == "null" else text.cast("double")
+    return F.round(number).cast("int")
+
+
 def order_items(stg: DataFrame, on_bad_number: str = "error") -> DataFrame:
     """Line items of first purchases; a kept purchase keeps all its items."""
     def number(text: Column) -> Column:
@@ -45,7 +51,7 @@ def order_items(stg: DataFrame, on_bad_number: str = "error") -> DataFrame:
             "item_id": _field("item_id"),
             "item_name": _field("item_name"),
             "item_price": number(_field("item_price")),
-            "quantity": F.round(number(_field("quantity"))).cast("int"),
+            "quantity": whole_number(_field("quantity"), on_bad_number),
         })
         .withColumn("line_total", F.col("item_price") * F.col("quantity"))
         .select(*FCT_ORDER_ITEMS)

@@ -59,9 +59,7 @@ def run(spark: SparkSession, base: str, as_of_date: date, *,
         spark, checks.check_results(made, gap_minutes, lookback_days)
     )
     made["check_summary"] = tables.put("check_summary", summary)
-    for name, rows in samples.items():
-        if rows:
-            made[f"failing_{name}"] = spark.createDataFrame(rows)
+    made |= {f"failing_{name}": rows for name, rows in samples.items()}
     made["report_outcome"] = reports.write_report(
         spark, reports.report_sections(made), f"{tables.base}/report"
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -192,40 +192,50 @@ def coverage_status(name: str, df: DataFrame) -> DataFrame:
     return _status(df, name, n == 0, F.concat(F.lit("unassigned_events="), n.cast("string")))
 
 
+# How a check is judged, and what builds its result.
+Check = tuple[Callable[[str, DataFrame], DataFrame], Callable[[], DataFrame]]
+
 # A check that errors is reported as failed; these never make the run fail.
 DIAGNOSTIC = ("duplicate_purchases",)
 
 
 def check_results(tables: Mapping[str, DataFrame], gap_minutes: int = SESSION_GAP_MINUTES,
-                  lookback_days: int = LOOKBACK_DAYS) -> dict[str, tuple]:
-    """name -> (status function, result), in reporting order.
+                  lookback_days: int = LOOKBACK_DAYS) -> dict[str, Check]:
+    """name -> (status function, function that builds the result), in reporting order.
 
     ``tables`` holds stg_events, dim_sessions, fct_attribution and fct_order_items, and
-    session_minutes where it was written beforehand, as three checks read it.
+    session_minutes where it was written beforehand, as three checks read it. Nothing is read or
+    resolved before a check's function is called.
     """
-    stg, sessions = tables["stg_events"], tables["dim_sessions"]
-    attribution, items = tables["fct_attribution"], tables["fct_order_items"]
-    if "session_minutes" in tables:
-        minutes = tables["session_minutes"]
-    else:
-        minutes = session_minutes(stg, sessions)
+    def stg() -> DataFrame:
+        return tables["stg_events"]
+
+    def sessions() -> DataFrame:
+        return tables["dim_sessions"]
+
+    def attribution() -> DataFrame:
+        return tables["fct_attribution"]
+
+    def minutes() -> DataFrame:
+        return tables["session_minutes"] if "session_minutes" in tables else session_minutes(stg(), sessions())
+
     return {
-        "sessions_overview": (summary_status, sessions_overview(sessions)),
-        "within_session_gap": (zero_rows_status, within_gap(minutes, gap_minutes)),
-        "between_session_gap": (zero_rows_status, between_gap(sessions, gap_minutes)),
-        "event_coverage": (coverage_status, event_coverage(stg, minutes)),
-        "actions_mismatch": (zero_rows_status, actions_mismatch(sessions, minutes)),
-        "attribution_coverage": (summary_status, attribution_coverage(attribution)),
-        "lookback": (zero_rows_status, lookback(attribution, sessions, lookback_days)),
-        "fc_lc_difference": (summary_status, fc_lc_difference(attribution)),
-        "duplicate_purchases": (diagnostic_status, duplicate_purchases(stg)),
-        "revenue_discrepancy": (zero_rows_status, revenue_discrepancy(items)),
+        "sessions_overview": (summary_status, lambda: sessions_overview(sessions())),
+        "within_session_gap": (zero_rows_status, lambda: within_gap(minutes(), gap_minutes)),
+        "between_session_gap": (zero_rows_status, lambda: between_gap(sessions(), gap_minutes)),
+        "event_coverage": (coverage_status, lambda: event_coverage(stg(), minutes())),
+        "actions_mismatch": (zero_rows_status, lambda: actions_mismatch(sessions(), minutes())),
+        "attribution_coverage": (summary_status, lambda: attribution_coverage(attribution())),
+        "lookback": (zero_rows_status, lambda: lookback(attribution(), sessions(), lookback_days)),
+        "fc_lc_difference": (summary_status, lambda: fc_lc_difference(attribution())),
+        "duplicate_purchases": (diagnostic_status, lambda: duplicate_purchases(stg())),
+        "revenue_discrepancy": (zero_rows_status, lambda: revenue_discrepancy(tables["fct_order_items"])),
     }
 
 
-def check_summary(results: Mapping[str, tuple]) -> DataFrame:
+def check_summary(results: Mapping[str, Check]) -> DataFrame:
     """check_name, status, details: one row per check."""
-    rows = [status(name, df) for name, (status, df) in results.items()]
+    rows = [status(name, make()) for name, (status, make) in results.items()]
     return reduce(DataFrame.unionByName, rows)
 
 
@@ -237,14 +247,18 @@ class ChecksFailed(RuntimeError):
         self.summary = summary
 
 
-def run_checks(spark: SparkSession, results: Mapping[str, tuple]) -> tuple[DataFrame, dict[str, list]]:
-    """Run every check even if some error. Returns the summary and up to 10 rows per failing check."""
+def run_checks(spark: SparkSession, results: Mapping[str, Check]) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Run every check even if some error. Returns the summary and up to 10 rows per failing check.
+
+    A failing sample keeps its check's columns and types, whatever its values.
+    """
     rows, samples = [], {}
-    for name, (status, df) in results.items():
+    for name, (status, make) in results.items():
         try:
+            df = make()
             row = tuple(status(name, df).first())
             if row[1] == "FAIL":
-                samples[name] = df.take(10)
+                samples[name] = spark.createDataFrame(df.take(10), df.schema)
         except Exception as error:  # a broken check must not hide the others
             row = (name, "FAIL", f"error={type(error).__name__}")
         rows.append(row)
@@ -253,6 +267,6 @@ def run_checks(spark: SparkSession, results: Mapping[str, tuple]) -> tuple[DataF
 
 def require_passed(summary: DataFrame) -> None:
     failed = summary.where((F.col("status") == "FAIL") & ~F.col("check_name").isin(*DIAGNOSTIC))
-    names = [r["check_name"] for r in failed.select("check_name").limit(100).collect()]
+    names = [r["check_name"] for r in failed.select("check_name").collect()]
     if names:
         raise ChecksFailed(summary, names)

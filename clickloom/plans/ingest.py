@@ -8,6 +8,7 @@ quarantine and the log are read from that table.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -51,12 +52,16 @@ def raw_events(tables: TableFolder) -> DataFrame:
     return validate.valid_events(landed(tables), "source_file")
 
 
-def quarantine(tables: TableFolder) -> DataFrame:
-    return landed(tables).where("NOT is_valid").select(
+def _rejected(rows: DataFrame) -> DataFrame:
+    return rows.where("NOT is_valid").select(
         "source_file", *[F.col(f"raw_{c}").alias(c) for c in EVENT_COLUMNS], "error_reason"
     )
 
 
+def quarantine(tables: TableFolder) -> DataFrame:
+    return _rejected(landed(tables))
+
+
 def write_quarantine_csv(rejected: DataFrame, path: str) -> None:
     """Rejected rows as CSV, one folder per source file, replacing that file's earlier output."""
     (
@@ -90,27 +95,28 @@ def ingest(spark: SparkSession, pattern: str, base: str, *, mode: str = "replace
     else:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(tables.path(LANDED))
 
-    this_run = landed(tables).where(F.col("run_id") == run_id)
-    log = validate.file_log(this_run, run_timestamp, run_id, csv_files.file_list(spark, files))
+    # only the partitions of this run's files are opened, however long the history
+    names = F.col("source_file").isin([f.name for f in files])
+    mine = names & (F.col("run_id") == run_id)
+    log = validate.file_log(landed(tables).where(mine), run_timestamp, run_id, csv_files.file_list(spark, files))
     tables.append(LOGS, log)
     written = tables[LOGS].where(F.col("run_id") == run_id)
 
     if mode == "replace":
         # a file that now has no rows at all left no partition to overwrite its old one with
         _drop_partitions(spark, tables.path(LANDED), written.where("rows_read = 0"))
-        _drop_partitions(spark, tables.path(QUARANTINE_CSV), written.where("rows_quarantined = 0"))
-    rejected = quarantine(tables).join(
-        written.where("rows_quarantined > 0").select(F.col("filename").alias("source_file")),
-        "source_file", "left_semi",
-    )
-    write_quarantine_csv(rejected, tables.path(QUARANTINE_CSV))
+    # the CSV files hold this run's rejected rows only
+    _drop_partitions(spark, tables.path(QUARANTINE_CSV), written.where("rows_quarantined = 0"))
+    write_quarantine_csv(_rejected(landed(tables).where(mine)), tables.path(QUARANTINE_CSV))
     return written
 
 
-def _drop_partitions(spark: SparkSession, path: str, log: DataFrame) -> None:
+def _drop_partitions(spark: SparkSession, path: str, log: DataFrame, threads: int = 16) -> None:
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for row in log.select("filename").toLocalIterator():
-        storage.delete(spark, f"{path}/source_file={escape(row['filename'])}")
+    with ThreadPoolExecutor(threads) as pool:
+        for _ in pool.map(lambda row: storage.delete(spark, f"{path}/source_file={escape(row['filename'])}"),
+                          log.select("filename").toLocalIterator()):
+            pass
 
 
 def dry_run(spark: SparkSession, pattern: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -114,31 +114,36 @@ def new_vs_returning(sessions: DataFrame) -> DataFrame:
     )
 
 
-def report_sections(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Section name -> DataFrame, in report order."""
-    sessions, attribution = tables["dim_sessions"], tables["fct_attribution"]
+def report_sections(tables: Mapping[str, DataFrame]) -> dict[str, Callable[[], DataFrame]]:
+    """Section name -> function that builds it, in report order; nothing is read before it is called."""
+    def sessions() -> DataFrame:
+        return tables["dim_sessions"]
+
+    def attribution() -> DataFrame:
+        return tables["fct_attribution"]
+
     return {
-        "engagement_overview": engagement_overview(sessions),
-        "device_usage": device_usage(sessions),
-        "device_browser_usage": device_browser_usage(sessions),
-        "attribution_overview": attribution_overview(attribution),
-        "funnel": funnel(sessions),
-        "lead_velocity": lead_velocity_summary(tables["rpt_lead_velocity"]),
-        "daily_kpi": daily_kpi(sessions, attribution),
-        "fc_vs_lc_revenue": fc_vs_lc_revenue(attribution),
-        "new_vs_returning": new_vs_returning(sessions),
+        "engagement_overview": lambda: engagement_overview(sessions()),
+        "device_usage": lambda: device_usage(sessions()),
+        "device_browser_usage": lambda: device_browser_usage(sessions()),
+        "attribution_overview": lambda: attribution_overview(attribution()),
+        "funnel": lambda: funnel(sessions()),
+        "lead_velocity": lambda: lead_velocity_summary(tables["rpt_lead_velocity"]),
+        "daily_kpi": lambda: daily_kpi(sessions(), attribution()),
+        "fc_vs_lc_revenue": lambda: fc_vs_lc_revenue(attribution()),
+        "new_vs_returning": lambda: new_vs_returning(sessions()),
     }
 
 
-def write_report(spark: SparkSession, sections: Mapping[str, DataFrame], path: str) -> DataFrame:
-    """Write each section as a table under ``path``; a failing section does not stop the others.
+def write_report(spark: SparkSession, sections: Mapping[str, Callable[[], DataFrame]], path: str) -> DataFrame:
+    """Build and write each section as a table under ``path``; a failing section does not stop the others.
 
     Returns section, position, error (NULL where it was written).
     """
     outcome = []
-    for position, (name, df) in enumerate(sections.items(), start=1):
+    for position, (name, make) in enumerate(sections.items(), start=1):
         try:
-            df.write.mode("overwrite").parquet(f"{path}/{name}")
+            make().write.mode("overwrite").parquet(f"{path}/{name}")
             error = None
         except Exception as failure:  # reported, so that later sections still run
             error = f"{type(failure).__name__}: {failure}"

@@ -31,8 +31,9 @@ def local_session(app: str = "clickloom", cores: int | str = "*", shuffle_partit
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written intermediates.
 
-    A cluster names it in ``spark.checkpoint.dir``. Where that is unset, a cluster's checkpoint
-    or warehouse folder is taken; only a local session falls back to a temporary folder.
+    A cluster names it in ``spark.checkpoint.dir``. Where that is unset, a cluster's checkpoint or
+    warehouse folder is taken, but no warehouse on a local disk, which every worker would have for
+    itself; only a local session falls back to a temporary folder.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
@@ -40,6 +41,8 @@ def scratch_root(spark: SparkSession) -> str:
         root = context._jsc.sc().getCheckpointDir().get()
     if not root and not context.master.startswith("local"):
         root = spark.conf.get("spark.sql.warehouse.dir")
+        if root.startswith(("file:", "/")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         if context.applicationId not in _local_roots:
             _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="clickloom-")

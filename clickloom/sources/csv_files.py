@@ -1,8 +1,12 @@
 """CSV event files whose headers drift.
 
-Files are grouped by their header record - one small read per file - and each group is scanned
-once with a positional all-string schema. Columns are then renamed, merged and derived by plain
-expressions, so one run over many shapes stays one DataFrame.
+Files are grouped by their header record and each group is scanned once: as lines where no file of
+the group has a line break inside quotes, else as records. Cells are renamed, merged and derived by
+plain expressions, so one run over many shapes stays one DataFrame.
+
+One grammar holds for files of every size. A header is the first line that is not blank, and more
+lines while a quote is open. After it, lines without any character are no rows; lines of blanks are.
+A quote opens a cell only as its first character. Line breaks inside quotes stay as they are.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from clickloom.functions import text
 from clickloom.operators.validate import ABSENT
@@ -38,20 +42,18 @@ HEADER_ALIASES = {
     "time": "time",
 }
 
-# How a file is read: by one task, by line splits, or by records found across line splits.
-WHOLE, LINES, RECORDS = "whole", "lines", "records"
-
-# Files above this many bytes are never read by one task.
-LARGE_FILE_BYTES = 512 * 1024 * 1024
+# Bytes in which a header must end; beyond, it cannot be read and all lines are rejected rows.
+HEADER_BYTES = 1 << 20
 
 
-def sanitize_header(name: str | None) -> str:
-    return (name or "").replace("\ufeff", "").strip()
+def clean_name(name: str | None) -> str:
+    """A header's name without byte order marks and outer blanks."""
+    return "" if name is None else name.replace("\ufeff", "").strip()
 
 
-def normalize_column_name(name: str | None) -> str:
-    clean = sanitize_header(name)
-    return HEADER_ALIASES.get(clean.lower(), clean)
+def event_column(name: str | None) -> str:
+    """The event column that a header means, or its own clean name."""
+    return HEADER_ALIASES.get(clean_name(name).lower(), clean_name(name))
 
 
 @dataclass(frozen=True)
@@ -63,7 +65,7 @@ class HeaderShape:
     derives_timestamp: bool = field(init=False)
 
     def __post_init__(self):
-        targets = [normalize_column_name(h) for h in self.headers]
+        targets = [event_column(h) for h in self.headers]
         has = {name: name in targets for name in ("timestamp", "date", "time")}
         derives = not has["timestamp"] and has["date"] and has["time"]
         if not has["timestamp"] and has["date"] != has["time"]:
@@ -89,6 +91,8 @@ class HeaderShape:
 
 @dataclass(frozen=True)
 class SourceFile:
+    """A file; ``name`` is its path below the folders that the pattern names without wildcards."""
+
     path: str
     name: str
     size: int
@@ -96,19 +100,46 @@ class SourceFile:
 
 
 def parse_header(record: str) -> HeaderShape:
-    cells = next(csv.reader([record]), [])
-    return HeaderShape(tuple(sanitize_header(c) for c in cells))
+    """The shape of a header record; none that csv can read gives a shape without columns."""
+    try:
+        cells = next(csv.reader([record.removeprefix("\ufeff")]), [])
+    except csv.Error:
+        cells = []
+    return HeaderShape(tuple(clean_name(c) for c in cells))
+
+
+def header_record(content: bytes, complete: bool) -> str | None:
+    """The header record in a file's first bytes; None if it does not end in these."""
+    lines = content.decode("utf-8", errors="replace").split("\n")
+    if not complete:
+        lines.pop()  # may go on
+    record, is_open = None, False
+    for line in lines:
+        line = line.removesuffix("\r") if not is_open else line
+        if record is None and not line.strip("\ufeff \t\r"):
+            continue
+        start = line.removeprefix("\ufeff") if record is None else line
+        record = line if record is None else f"{record}\n{line}"
+        is_open = csv_records.is_open_after(start, is_open)
+        if not is_open:
+            return record
+    return None if record is not None or not complete else ""
+
+
+def _header(spark: SparkSession, path: str, size: int) -> str:
+    for limit in (1 << 13, HEADER_BYTES):
+        found = header_record(storage.head(spark, path, limit), size <= limit)
+        if found is not None:
+            return found
+    return ""
 
 
 def discover(spark: SparkSession, pattern: str, threads: int = 16) -> list[SourceFile]:
-    """Files of a glob with their header shapes, by name. Only header records are read."""
+    """Files of a glob with their header shapes, by name. Only first bytes are read."""
     files = storage.list_files(spark, pattern)
     with ThreadPoolExecutor(threads) as pool:
-        records = list(pool.map(lambda f: storage.first_record(spark, f[0]), files))
-    return [
-        SourceFile(path, name, size, parse_header(record))
-        for (path, name, size), record in zip(files, records)
-    ]
+        records = list(pool.map(lambda f: _header(spark, f[0], f[2]), files))
+    return [SourceFile(path, name, size, parse_header(record)) for (path, name, size), record in zip(files, records)]
 
 
 _REPORT_SCHEMA = (
@@ -134,34 +165,38 @@ def file_list(spark: SparkSession, files: Iterable[SourceFile]) -> DataFrame:
 def spanning_files(spark: SparkSession, paths: list[str]) -> set[str]:
     """Paths holding at least one line break inside quotes; a parallel scan of the lines."""
     hits = (
-        spark.read.text(paths)
-        .where(F.col("value").contains('"') & csv_records.open_after(F.col("value"), False))
-        .select(csv_records.decoded("file_path").alias("path"))
+        spark.read.option("lineSep", "\n").text(paths)
+        .where(F.col("value").contains('"') & csv_records.open_after(csv_records.without_return(F.col("value")), False))
+        .select(csv_records.file_path().alias("path"))
         .distinct()
     )
     return {row["path"] for row in hits.collect()}
 
 
-def _read_shape(spark: SparkSession, shape: HeaderShape, paths: list[str], how: str) -> DataFrame:
+def _after_header(rows: DataFrame, headers: Column) -> DataFrame:
+    """Rows behind their file's header. Only rows that look like it, or are blank, need their place."""
+    like_header = F.transform("cells", lambda c: F.trim(F.replace(F.coalesce(c, F.lit("")), F.lit("\ufeff"), F.lit("")))) == headers
+    blank = F.trim(F.translate("record", "\t\ufeff", "  ")) == ""
+    marked = rows.withColumns({"like_header": F.coalesce(like_header, F.lit(False)), "blank": blank})
+    sure = marked.where("NOT like_header AND NOT blank")
+    order = Window.partitionBy("path").orderBy("block", "place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = F.sum(F.col("like_header").cast("int")).over(order)
+    rest = marked.where("like_header OR blank").withColumn("seen", seen).where("seen > 1 OR (seen = 1 AND NOT like_header)")
+    return sure.unionByName(rest.drop("seen"))
+
+
+def _read_shape(spark: SparkSession, shape: HeaderShape, files: list[SourceFile], spanning: bool) -> DataFrame:
+    paths = [f.path for f in files]
     positions = [f"_c{i}" for i in range(len(shape.headers))]
-    schema = T.StructType([T.StructField(p, T.StringType()) for p in positions])
-    if how == RECORDS:
-        options = {"escape": '"', "mode": "PERMISSIVE", "multiLine": "true"}
-        cells = csv_records.read_records(spark, paths).select(
-            F.from_csv("record", schema.simpleString()[len("struct<"):-1].replace(":", " "), options)
-            .alias("cells"),
-            "source_file",
-        ).select("cells.*", "source_file")
-    else:
-        cells = (
-            spark.read.schema(schema)
-            .option("header", True)
-            .option("multiLine", how == WHOLE)
-            .option("escape", '"')
-            .option("mode", "PERMISSIVE")
-            .csv(paths)
-            .select("*", csv_records.decoded("file_name").alias("source_file"))
-        )
+    rows = csv_records.read_records(spark, paths) if spanning else csv_records.read_lines(spark, paths)
+    if positions:
+        ddl = ", ".join(f"{p} string" for p in positions)
+        parsed = F.from_csv("record", ddl, {"escape": '"', "mode": "PERMISSIVE", "multiLine": "true", "maxCharsPerColumn": "-1"})
+        rows = rows.withColumn("parsed", parsed).withColumn("cells", F.array(*[F.col("parsed")[p] for p in positions]))
+        rows = _after_header(rows, F.array(*[F.lit(h) for h in shape.headers]))
+    names = spark.createDataFrame([(f.path, f.name) for f in files], "file string, source_file string")
+    named = rows.join(names, F.col("path") == F.col("file"))
+    cells = named.select("source_file", *[F.when(~F.col("broken"), F.col("cells")[i]).alias(p) for i, p in enumerate(positions)])
     return normalize_columns(cells, shape, positions)
 
 
@@ -196,24 +231,17 @@ def normalize_columns(df: DataFrame, shape: HeaderShape, positions: list[str],
     )
 
 
-def read_events(spark: SparkSession, files: list[SourceFile],
-                large_file_bytes: int = LARGE_FILE_BYTES) -> DataFrame:
+def read_events(spark: SparkSession, files: list[SourceFile]) -> DataFrame:
     """All rows of all files as strings, with source_file and the absent columns of each row.
 
-    Cells may hold line breaks. A small file is read by one task, which copes with them. Large
-    files are first scanned for them: without any, a file is split by lines, else by records.
+    A file without a readable header gives one row per line, with all columns absent.
     """
-    large = [f.path for f in files if f.size > large_file_bytes]
-    spanning = spanning_files(spark, large) if large else set()
-    groups: dict[tuple[HeaderShape, str], list[str]] = {}
+    spanning = spanning_files(spark, [f.path for f in files]) if files else set()
+    groups: dict[tuple[HeaderShape, bool], list[SourceFile]] = {}
     for f in files:
-        if f.size <= large_file_bytes:
-            how = WHOLE
-        else:
-            how = RECORDS if f.path in spanning else LINES
-        if f.shape.headers:
-            groups.setdefault((f.shape, how), []).append(f.path)
-    frames = [_read_shape(spark, shape, paths, how) for (shape, how), paths in groups.items()]
+        if f.size:
+            groups.setdefault((f.shape, f.path in spanning and bool(f.shape.headers)), []).append(f)
+    frames = [_read_shape(spark, shape, group, how) for (shape, how), group in groups.items()]
     if not frames:
         columns = ["source_file", *EVENT_COLUMNS]
         empty = ", ".join(f"`{c}` string" for c in columns)

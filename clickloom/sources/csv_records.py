@@ -1,4 +1,7 @@
-"""Records of CSV files with line breaks inside quotes, found in parallel.
+"""Lines and records of CSV files, found in parallel.
+
+Lines end in a line feed; a carriage return before it belongs to the line's end. A record is a
+line, or several while a quote is open. One grammar holds for files of every size.
 
 A line alone does not tell whether it starts inside quotes. But for either assumption it tells
 where it ends, so each file block can be summed up as a pair of outcomes, the few summaries of a
@@ -30,6 +33,34 @@ def open_after(line: Column, open_before: bool) -> Column:
     ).otherwise(F.lit(open_before))
 
 
+def is_open_after(line: str, is_open: bool) -> bool:
+    """The same rule for one line on the driver."""
+    for piece in line.split(","):
+        if is_open or piece.startswith('"'):
+            is_open ^= piece.count('"') % 2 == 1
+    return is_open
+
+
+def file_path() -> Column:
+    """Path of a row's file as ``storage.plain`` spells it."""
+    return F.regexp_replace(decoded("file_path"), "^file:/+", "file:/")
+
+
+def without_return(text: Column) -> Column:
+    return F.regexp_replace(text, "\r$", "")
+
+
+def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """One row per line: path, block and place (its position), record, broken (never)."""
+    return spark.read.option("lineSep", "\n").text(paths).select(
+        file_path().alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+        without_return(F.col("value")).alias("record"),
+        F.lit(False).alias("broken"),
+    ).where("record <> ''")
+
+
 def _chain(df: DataFrame, keys: list[str], order: list[str], if_closed: str, if_open: str) -> DataFrame:
     """Add after_closed and after_open: the state after each row for either state before the first.
 
@@ -56,14 +87,17 @@ def _chain(df: DataFrame, keys: list[str], order: list[str], if_closed: str, if_
 
 
 def read_records(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """One row per record after the header: source_file, record (text as in the file)."""
+    """One row per record: path, block and place (its position), record, broken.
+
+    A file may end inside quotes. If that record is more than one line, its lines are rows of their
+    own, ``broken``: no record gathers the rest of a file.
+    """
     keys, order = ["path", "block"], ["line_no"]
     lines = (
         spark.read.option("lineSep", "\n").text(paths)
         .select(
             "value",
-            decoded("file_path").alias("path"),
-            decoded("file_name").alias("source_file"),
+            file_path().alias("path"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("line_no"),
         )
@@ -82,6 +116,7 @@ def read_records(spark: SparkSession, paths: list[str]) -> DataFrame:
         F.count_if(~F.col("open_if_open")).alias("starts_if_open"),
     )
     by_file = Window.partitionBy("path").orderBy("block")
+    whole_file = by_file.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     placed = (
         _chain(blocks, ["path"], ["block"], "if_closed", "if_open")
         .withColumn("starts_open", F.lag("after_closed", 1, False).over(by_file))
@@ -94,6 +129,9 @@ def read_records(spark: SparkSession, paths: list[str]) -> DataFrame:
             F.coalesce(
                 F.sum("starts").over(by_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
             ).alias("records_before"),
+            F.sum("starts").over(whole_file).alias("records"),
+            F.last("after_closed").over(whole_file).alias("ends_open"),
+            F.max("block").over(whole_file).alias("last_block"),
         )
     )
 
@@ -103,11 +141,25 @@ def read_records(spark: SparkSession, paths: list[str]) -> DataFrame:
         "record_no",
         F.col("records_before") + F.sum(F.when(is_open, 0).otherwise(1)).over(running),
     )
+    # a record of one line passes as it is; only others are gathered
+    line = {"block": F.col("block"), "place": F.col("line_no"), "record": without_return(F.col("value"))}
+    tail = F.col("ends_open") & (F.col("record_no") == F.col("records"))
+    after = F.when(F.col("starts_open"), F.col("after_open")).otherwise(F.col("after_closed"))
+    alone = ~is_open & (~after | (tail & F.col("last_line")))
+    last_line = F.lead("line_no").over(within).isNull() & (F.col("block") == F.col("last_block"))
+    marked = numbered.withColumn("last_line", last_line).withColumns({"alone": alone, "tail": tail})
+    single = marked.where("alone OR tail").select(
+        "path", *[c.alias(n) for n, c in line.items()], (~F.col("alone")).alias("broken")
+    )
     parts = F.array_sort(F.collect_list(F.struct("block", "line_no", "value")))
-    return (
-        numbered.groupBy("path", "source_file", "record_no")
-        .agg(F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("record"))
-        .where("record_no > 1")
-        .select("source_file", F.regexp_replace("record", "\r$", "").alias("record"))
-        .where("record <> ''")
+    several = (
+        marked.where("NOT alone AND NOT tail").groupBy("path", "record_no").agg(parts.alias("parts"))
+        .select(
+            "path",
+            F.col("parts")[0]["block"].alias("block"),
+            F.col("parts")[0]["line_no"].alias("place"),
+            without_return(F.array_join(F.transform("parts", lambda p: p["value"]), "\n")).alias("record"),
+            F.lit(False).alias("broken"),
+        )
     )
+    return single.unionByName(several).where("record <> ''")

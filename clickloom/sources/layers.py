@@ -8,6 +8,7 @@ read them, each pruned to the columns it needs. A table is made again when the i
 from __future__ import annotations
 
 import threading
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,10 +19,12 @@ from clickloom.operators import (
 )
 from clickloom.session import scratch_path
 from clickloom.sources import csv_files, recipe, storage
+from clickloom.sources.tables import TableFolder
 
 _made: dict[tuple, str] = {}
 _schemas: dict[str, StructType] = {}
 _lock = threading.Lock()
+_locks: dict[tuple, threading.Lock] = {}
 
 
 def _write_csv_shapes(raw: DataFrame, path: str) -> None:
@@ -59,11 +62,12 @@ class Layers:
         """Path of a folder that ``write(path)`` fills, unless this session did so before."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir, self._input, name)
         with _lock:
+            making = _locks.setdefault(key, threading.Lock())
+        with making:  # who comes second waits, rather than make it twice
             path = _made.get(key)
-        if path is None or not storage.exists(self.spark, path):
-            path = scratch_path(self.spark, name)
-            write(path)
-            with _lock:
+            if path is None or not storage.exists(self.spark, path):
+                path = scratch_path(self.spark, name)
+                write(path)
                 _made[key] = path
         return path
 
@@ -80,11 +84,17 @@ class Layers:
         """Raw clickstream cells: what the event files would hold."""
         return self._written("raw", lambda: recipe.raw_clickstream(self.spark, self.sf_dir))
 
-    def csv_files(self) -> list[csv_files.SourceFile]:
+    def csv_pattern(self) -> str:
         """The raw cells as CSV files of three header shapes, written once."""
         raw = self.raw()
-        path = self._folder("raw_csv", lambda target: _write_csv_shapes(raw, target))
-        return csv_files.discover(self.spark, f"{path}/*/part-*.csv")
+        return self._folder("raw_csv", lambda target: _write_csv_shapes(raw, target)) + "/*/part-*.csv"
+
+    def csv_files(self) -> list[csv_files.SourceFile]:
+        return csv_files.discover(self.spark, self.csv_pattern())
+
+    def tables(self, name: str, fill: Callable[[str], None]) -> TableFolder:
+        """A table folder that ``fill`` makes, once."""
+        return TableFolder(self.spark, self._folder(name, fill))
 
     def annotated(self) -> DataFrame:
         return validate.annotate(self.raw())

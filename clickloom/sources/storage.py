@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 
@@ -22,14 +24,23 @@ def delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def plain(path: str) -> str:
+    """One spelling of a path: a single slash after the scheme."""
+    return re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*):/+(?=[^/])", lambda m: f"{m[1]}:/" if m[1] == "file" else m[0], path)
+
+
 def list_files(spark: SparkSession, pattern: str) -> list[tuple[str, str, int]]:
-    """(path, name, bytes) of the files a glob matches, by name."""
+    """(path, name, bytes) of the files a glob matches, by name.
+
+    The name is the path below the folders that the pattern names without wildcards.
+    """
     fs, p = _fs(spark, pattern)
+    fixed = re.split(r"[*?\[{]", pattern, maxsplit=1)[0]
+    folder = pattern.rsplit("/", 1)[0] if fixed == pattern else fixed.rsplit("/", 1)[0]
+    root = plain(_fs(spark, folder or "/")[0].makeQualified(_fs(spark, folder or "/")[1]).toString()).rstrip("/") + "/"
     found = [s for s in (fs.globStatus(p) or []) if s.isFile()]
-    return sorted(
-        ((s.getPath().toString(), s.getPath().getName(), s.getLen()) for s in found),
-        key=lambda f: f[1],
-    )
+    paths = [(plain(s.getPath().toString()), s.getLen()) for s in found]
+    return sorted(((path, path.removeprefix(root), size) for path, size in paths), key=lambda f: f[1])
 
 
 def version(spark: SparkSession, path: str) -> tuple:
@@ -39,19 +50,11 @@ def version(spark: SparkSession, path: str) -> tuple:
     return summary.getLength(), summary.getFileCount(), fs.getFileStatus(p).getModificationTime()
 
 
-def first_record(spark: SparkSession, path: str) -> str:
-    """Header record of a text file: the first line, or more while a quote is open."""
+def head(spark: SparkSession, path: str, limit: int) -> bytes:
+    """The first bytes of a file, ``limit`` at most."""
     fs, p = _fs(spark, path)
-    jvm = spark._jvm
-    reader = jvm.java.io.BufferedReader(
-        jvm.java.io.InputStreamReader(fs.open(p), jvm.java.nio.charset.StandardCharsets.UTF_8)
-    )
+    stream = fs.open(p)
     try:
-        line = reader.readLine()
-        record = line or ""
-        while line is not None and record.count('"') % 2 == 1:
-            line = reader.readLine()
-            record += "\n" + (line or "")
-        return record
+        return bytes(stream.readNBytes(limit))
     finally:
-        reader.close()
+        stream.close()

@@ -103,7 +103,7 @@ def test_duplicates_are_only_reported(tables):
 def test_broken_check_does_not_stop_others(spark, tables):
     results = checks.check_results(tables)
     broken = tables["dim_sessions"].select(F.raise_error(F.lit("boom")).alias("x"))
-    results = {"broken": (checks.zero_rows_status, broken), **results}
+    results = {"broken": (checks.zero_rows_status, lambda: broken), **results}
     summary, samples = checks.run_checks(spark, results)
     got = {r["check_name"]: r["status"] for r in summary.collect()}
     assert got.pop("broken") == "FAIL" and set(got.values()) == {"PASS"} and samples == {}
@@ -114,12 +114,33 @@ def test_broken_check_does_not_stop_others(spark, tables):
 def test_empty_tables(spark, tables):
     empty = {name: df.limit(0) for name, df in tables.items()}
     assert set(s for s, _ in statuses(empty).values()) == {"PASS"}
-    for df in reports.report_sections(empty).values():
-        df.collect()
+    for make in reports.report_sections(empty).values():
+        make().collect()
+
+
+def test_missing_column_fails_only_what_reads_it(spark, tables, folder):
+    lacking = {**tables, "dim_sessions": tables["dim_sessions"].drop("converted"), "fct_order_items": tables["fct_order_items"].drop("line_total")}
+    summary, _ = checks.run_checks(spark, checks.check_results(lacking))
+    got = {r["check_name"]: (r["status"], r["details"]) for r in summary.collect()}
+    assert {n for n, (s, _) in got.items() if s == "FAIL"} == {"sessions_overview", "revenue_discrepancy"}
+    assert got["sessions_overview"][1] == "error=AnalysisException"
+    outcome = {r["section"]: r["error"] for r in reports.write_report(spark, reports.report_sections(lacking), folder).collect()}
+    assert outcome["engagement_overview"] and outcome["funnel"] and outcome["attribution_overview"] is None
+    del lacking["fct_attribution"]
+    summary, _ = checks.run_checks(spark, checks.check_results(lacking))
+    got = {r["check_name"]: r["status"] for r in summary.collect()}
+    assert got["lookback"] == "FAIL" and got["event_coverage"] == "PASS"
+
+
+def test_failing_sample_of_nulls_keeps_its_schema(spark, tables):
+    row = spark.createDataFrame([(None, None)], "transaction_id string, revenue double")
+    summary, samples = checks.run_checks(spark, {"nulls": (checks.zero_rows_status, lambda: row)})
+    assert summary.first()["status"] == "FAIL"
+    assert samples["nulls"].schema == row.schema and samples["nulls"].collect() == row.collect()
 
 
 def test_conservation(tables):
-    sections = reports.report_sections(tables)
+    sections = {name: make() for name, make in reports.report_sections(tables).items()}
     total = sections["engagement_overview"].first()["total_sessions"]
     assert total == sections["funnel"].first()["total_sessions"]
     for name, column in (("device_usage", "session_count"), ("device_browser_usage", "session_count"),
@@ -149,7 +170,7 @@ def test_unattributed_bucket_and_days_without_purchases(spark):
 
 
 def test_failing_section_does_not_stop_report(spark, tables, folder):
-    sections = {"bad": tables["dim_sessions"].select(F.raise_error(F.lit("x")).alias("y")),
+    sections = {"bad": lambda: tables["dim_sessions"].select(F.raise_error(F.lit("x")).alias("y")),
                 **reports.report_sections(tables)}
     outcome = {r["section"]: r["error"] for r in reports.write_report(spark, sections, folder).collect()}
     assert outcome.pop("bad") is not None and set(outcome.values()) == {None}

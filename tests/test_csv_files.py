@@ -2,6 +2,8 @@ import csv
 import json
 import os
 import random
+import re
+from contextlib import contextmanager
 from datetime import date, datetime
 
 import pytest
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from clickloom.operators import validate
 from clickloom.plans import build, ingest, monitors
 from clickloom.sources import csv_files, csv_records
-from clickloom.sources.csv_files import HeaderShape, normalize_column_name, parse_header
+from clickloom.sources.csv_files import HeaderShape, event_column, parse_header
 from clickloom.sources.tables import CatalogTables, TableFolder
 
 HEADER = "client_id,page_url,referrer,timestamp,event_name,event_data,user_agent"
@@ -26,7 +28,7 @@ def read(spark, folder, **options):
 
 
 def test_header_names():
-    assert [normalize_column_name(n) for n in ("\ufeffClientId", " EVENT_NAME ", "pageUrl", "Extra ", None)] == [
+    assert [event_column(n) for n in ("\ufeffClientId", " EVENT_NAME ", "pageUrl", "Extra ", None)] == [
         "client_id", "event_name", "page_url", "Extra", ""]
 
 
@@ -80,7 +82,7 @@ def test_shapes_are_read_together(spark, folder):
 
 def test_aliases_first_non_blank_wins(spark, folder):
     put(folder, "1.csv", "client_id,clientId,CLIENTID\n,  ,x\n a ,b,c\nNone,b,c\n")
-    assert [r["client_id"] for r in read(spark, folder).collect()] == ["x", " a ", "b"]
+    assert sorted(r["client_id"] for r in read(spark, folder).collect()) == [" a ", "b", "x"]
 
 
 def test_repeated_header_is_extra(spark, folder):
@@ -88,16 +90,60 @@ def test_repeated_header_is_extra(spark, folder):
     assert read(spark, folder).first()["client_id"] is None
 
 
-def test_large_files_split_only_without_inner_line_breaks(spark, folder):
+@contextmanager
+def blocks_of(spark, size):
+    """Files are read in blocks of so many bytes."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_only_files_with_inner_line_breaks_are_read_by_records(spark, folder):
     put(folder, "flat.csv", HEADER + "\n" + 'c1,"u,""x""",r,t,e,"{""a"":1}",ua\n' * 50)
     put(folder, "inner.csv", HEADER + "\n" + 'c2,"u\nv",r,t,e,{},ua\n' * 50)
     files = csv_files.discover(spark, f"{folder}/*.csv")
     spanning = csv_files.spanning_files(spark, [f.path for f in files])
     assert {p.rsplit("/", 1)[1] for p in spanning} == {"inner.csv"}
-    whole, split = read(spark, folder), read(spark, folder, large_file_bytes=0)
-    assert split.count() == 100
-    assert split.exceptAll(whole).isEmpty() and whole.exceptAll(split).isEmpty()
-    assert set(r["page_url"] for r in split.select("page_url").distinct().collect()) == {'u,"x"', "u\nv"}
+    rows = read(spark, folder)
+    assert rows.count() == 100
+    assert set(r["page_url"] for r in rows.select("page_url").distinct().collect()) == {'u,"x"', "u\nv"}
+
+
+# content of a file, and the client_id cells of its rows in order; OTHER is a file that is always there
+CASES = {
+    "blank lines before the header": ("\n  \n\ufeff" + HEADER + "\nc1,u,r,t,e,{},ua\n", ["c1"]),
+    "empty first line": ("\n" + HEADER + "\nc1,u,r,t,e,{},ua\nc2,u,r,t,e,{},ua\n", ["c1", "c2"]),
+    "carriage returns before the header": ("\r\n\r\n" + HEADER + "\r\nc1,u,r,t,e,{},ua\r\n\r\n", ["c1"]),
+    "a line of blanks is a row": (HEADER + "\nc1,u,r,t,e,{},ua\n   \n\nc2,u,r,t,e,{},ua\n", ["c1", "   ", "c2"]),
+    "the header again is a row": (HEADER + "\nc1,u,r,t,e,{},ua\n" + HEADER + "\n", ["c1", "client_id"]),
+    "CRLF inside quotes stays": (HEADER + '\r\n"c\r\n1",u,r,t,e,{},ua\r\nc2,u,r,t,e,{},ua\r\n', ["c\r\n1", "c2"]),
+    "unterminated last cell of one line": (HEADER + '\nc1,u,r,t,e,{},ua\nc2,u,r,t,e,{},"ua\n', ["c1", "c2"]),
+    "unterminated tail of lines": (HEADER + '\nc1,u,r,t,e,{},ua\n"c2,u\nc3,u,r,t,e,{},ua\nc4', ["c1", None, None, None]),
+    "a stray quote in the header": ('client_id",page_url\nc1,u\nc2,u\n', [None, None]),
+    "an unclosed quote in the header": ('"client_id,page_url\nc1,u\nc2,u\n', [None, None, None]),
+    "quoted header over two lines": ('client_id,"page\nurl"\nc1,u\nc2,v\n', ["c1", "c2"]),
+    "no rows": (HEADER, []),
+    "nothing": ("", []),
+    "only blanks": ("\n  \n", [None]),
+}
+
+
+@pytest.mark.parametrize("size", [None, 7, 60])
+@pytest.mark.parametrize("name", list(CASES))
+def test_one_grammar_for_every_size(spark, folder, name, size):
+    content, expected = CASES[name]
+    put(folder, "case.csv", content)
+    put(folder, "other.csv", HEADER + "\nx,u,r,t,e,{},ua\n")
+    with blocks_of(spark, size or 1 << 27):
+        rows = read(spark, folder).select("source_file", "client_id").collect()
+    assert [r["client_id"] for r in rows if r["source_file"] == "other.csv"] == ["x"]
+    got = [r["client_id"] for r in rows if r["source_file"] == "case.csv"]
+    assert sorted(map(str, got)) == sorted(map(str, expected))
 
 
 @pytest.mark.parametrize("block_bytes", [90, 400])
@@ -112,15 +158,9 @@ def test_records_across_blocks(spark, folder, block_bytes):
             f.write(HEADER + end)
             csv.writer(f, lineterminator=end).writerows(part)
             f.write(f'last{name},stray"quote,,,,,ua')
-    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block_bytes))
-    spark.conf.set("spark.sql.files.openCostInBytes", "1")
-    try:
-        df = read(spark, folder, large_file_bytes=0)
+    with blocks_of(spark, block_bytes):
+        df = read(spark, folder)
         got = sorted(tuple(r[c] for c in csv_files.EVENT_COLUMNS) for r in df.collect())
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
     order = [HEADER.split(",").index(c) for c in csv_files.EVENT_COLUMNS]
     expected = [tuple(row[i] for i in order) for row in rows]
     assert [r for r in got if r[1] != 'stray"quote'] == sorted(expected)
@@ -175,6 +215,41 @@ def test_ingest_is_idempotent_and_replaces(spark, folder):
     assert ingest.raw_events(tables).count() == 12
 
 
+def test_files_of_equal_names_in_folders(spark, folder):
+    base = folder + "/tables"
+    for day in ("d1", "d2"):
+        os.mkdir(f"{folder}/{day}")
+        day_file(f"{folder}/{day}", "ev.csv", "2024-01-01", rejects=1 if day == "d1" else 2)
+    for _ in range(2):
+        log = ingest.ingest(spark, f"{folder}/d*/ev.csv", base)
+        assert {r["filename"]: r["rows_read"] for r in log.collect()} == {"d1/ev.csv": 7, "d2/ev.csv": 8}
+    tables = TableFolder(spark, base)
+    assert ingest.raw_events(tables).count() == 12 and ingest.quarantine(tables).count() == 3
+    # one of them alone replaces its own rows only
+    day_file(f"{folder}/d2", "ev.csv", "2024-01-02", rejects=0)
+    ingest.ingest(spark, f"{folder}/d*/ev.csv", base)
+    assert ingest.raw_events(tables).count() == 12 and ingest.quarantine(tables).count() == 1
+
+
+def test_quarantine_csv_holds_this_run_only(spark, folder):
+    base = folder + "/tables"
+    day_file(folder, "a.csv", "2024-01-01", rejects=1)
+    for _ in range(2):
+        ingest.ingest(spark, f"{folder}/*.csv", base, mode="append")
+    assert spark.read.option("header", True).csv(base + "/quarantine_csv").count() == 1
+    assert ingest.quarantine(TableFolder(spark, base)).count() == 2
+
+
+def test_run_opens_only_its_files_partitions(spark, folder):
+    base = folder + "/tables"
+    for name in ("a.csv", "b.csv"):
+        day_file(folder, name, "2024-01-01")
+    ingest.ingest(spark, f"{folder}/*.csv", base)
+    rows = ingest.landed(TableFolder(spark, base)).where(F.col("source_file").isin(["a.csv"]) & (F.col("run_id") == "x"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*source_file", plan)
+
+
 def test_run_from_files_to_monitors(spark, folder):
     base = folder + "/tables"
     for day in ("2024-01-01", "2024-01-02"):

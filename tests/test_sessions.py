@@ -142,6 +142,16 @@ def test_identity_join_with_and_without_broadcast(spark, folder):
     assert small.select(sorted(small.columns)).exceptAll(large.select(sorted(large.columns))).isEmpty()
 
 
+def test_user_of_an_event_without_time(spark, folder):
+    stg = spark.createDataFrame([stg_row(c, "2024-01-01 10:00") for c in ("c", "d")], STG_DDL).withColumn(
+        "timestamp", F.when(F.col("client_id") == "d", F.col("timestamp")))
+    spark.createDataFrame([("c", "u"), ("d", "v")], NO_MAP).write.parquet(folder + "/m")
+    user_map = spark.read.parquet(folder + "/m")
+    for size in (identity.BROADCAST_BYTES, 0):
+        got = {r["client_id"]: r["master_user_id"] for r in identity.identity_join(stg, user_map, broadcast_bytes=size).collect()}
+        assert got == {"c": "u", "d": "v"}
+
+
 def test_a_device_is_never_shuffled_whole(spark, folder):
     """Only rows already combined per (device, minute) are shuffled on the device alone."""
     spark.createDataFrame([stg_row("c", "2024-01-01 10:00")], STG_DDL).write.parquet(folder + "/stg")

@@ -97,6 +97,22 @@ TIMES = {
     "Jan 5, 2024": datetime(2024, 1, 5),
     "20240105T060708": datetime(2024, 1, 5, 6, 7, 8),
     "20240105": datetime(2024, 1, 5),
+    "2024-01-01T10:00+02:00": datetime(2024, 1, 1, 8),
+    "2024-01-01T10+02": datetime(2024, 1, 1, 8),
+    "20240101T101010Z": datetime(2024, 1, 1, 10, 10, 10),
+    "20240101T101010+0200": datetime(2024, 1, 1, 8, 10, 10),
+    "2024-01-01T10:00:00,123Z": datetime(2024, 1, 1, 10, 0, 0, 123000),
+    "2024-01-01T10:00:00z": datetime(2024, 1, 1, 10),
+    "13/01/2024": datetime(2024, 1, 13),
+    "2024-01-01T10:00:00+5:30": datetime(2024, 1, 1, 4, 30),
+    "2024-01-01T10:00:00 GMT+2": datetime(2024, 1, 1, 8),
+    "2024-01-01T10:00:00 UTC+05:30": datetime(2024, 1, 1, 4, 30),
+    "2024-01-01T10:00:00 EST": datetime(2024, 1, 1, 15),
+    "2024-07-01 10:00:00 Europe/Paris": datetime(2024, 7, 1, 8),
+    "2024-01-01T10:00:00+05:30:00": datetime(2024, 1, 1, 4, 30),
+    "2024-01-01T10:00:00 Nowhere/There": None,
+    "2024-01-01T10:00:00+99:00": None,
+    "T10:00": None,
     "2024-13-01": None,
     "99/99/2024": None,
     "170000": None,
