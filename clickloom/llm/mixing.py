@@ -19,7 +19,7 @@ column of the table named like one of the result's is replaced.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from clickloom.llm.tables import stored, table
@@ -101,16 +101,16 @@ def tilts(cells: DataFrame, goals: DataFrame, most: int = MOST, steps: int = STE
     return state
 
 
-def _round_cells(cells: pd.DataFrame) -> pd.DataFrame:
+def _round_cells(cells: pa.Table) -> pa.Table:
     """Whole copies of each cell of one source, larger sizes first; tokens taken follow those wanted."""
-    cells = cells.sort_values("size", ascending=False)
-    size, n = cells["size"].to_numpy(), cells["n"].to_numpy()
-    wanted = np.cumsum(cells["rate"].to_numpy() * n * size)
+    cells = cells.take(np.argsort(-cells["size"].to_numpy(), kind="stable"))
+    size, n, rate, most = (cells[c].to_numpy() for c in ("size", "n", "rate", "most"))
+    wanted = np.cumsum(rate * n * size)
     given, taken = np.empty(len(n), np.int64), 0
     for i in range(len(n)):
-        given[i] = min(max(round((wanted[i] - taken) / size[i]), 0), int(cells["most"].iat[0]) * n[i])
+        given[i] = min(max(round((wanted[i] - taken) / size[i]), 0), int(most[i]) * n[i])
         taken += int(given[i]) * int(size[i])
-    return cells.assign(copies=given)[["cell_source", "size", "n", "copies"]]
+    return cells.select(["cell_source", "size", "n"]).append_column("copies", pa.array(given))
 
 
 def mix(docs: DataFrame, source: str = "source", text: str = "text", key: str = "doc_id", most: int = MOST,
@@ -132,7 +132,7 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", key: str =
         F.col("cell_source").eqNullSafe(F.col("source"))).select(
         "cell_source", "size", "n", F.lit(most).alias("most"),
         F.when(F.col("target") >= most * F.col("source_size"), F.lit(float(most))).otherwise(_tilted(most)).alias("rate"))
-    whole = rated.groupBy("cell_source").applyInPandas(
+    whole = rated.groupBy("cell_source").applyInArrow(
         _round_cells, f"cell_source {dict(rated.dtypes)['cell_source']}, size long, n long, copies long").select(
         "cell_source", "size", "n", F.floor(F.col("copies") / F.col("n")).alias("each"), (F.col("copies") % F.col("n")).alias("more"))
     whole = stored(whole, "mix-whole")

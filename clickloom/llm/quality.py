@@ -16,7 +16,6 @@ equal verdicts; columns of the table that are named like the method's own stay a
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -76,30 +75,33 @@ def _small(df: DataFrame, rows: int = 20_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def _inverse(cov: np.ndarray) -> list[float]:
-    return np.linalg.inv(cov).ravel().tolist()
+def _estimate(group: pa.Table, centre: np.ndarray, cov: np.ndarray) -> pa.Table:
+    kind = pa.list_(pa.float64())
+    return pa.table({"grp": [group["grp"][0].as_py()], "centre": pa.array([centre], kind), "inverse": pa.array([np.linalg.inv(cov).ravel()], kind)})
 
 
-def _first(counts: pd.DataFrame) -> pd.DataFrame:
+def _first(counts: pa.Table) -> pa.Table:
     """Quartiles of each coordinate from counts of rounded values."""
+    which, value, n = (counts[c].to_numpy() for c in ("i", "value", "n"))
     centre, scale = np.zeros(P), np.array(FLOORS)
-    for i, c in counts.groupby("i"):
-        c = c.sort_values("value")
-        share = c["n"].cumsum().to_numpy() / c["n"].sum()
-        low, centre[i], high = c["value"].to_numpy()[np.searchsorted(share, (0.25, 0.5, 0.75))] / 1000
+    for i in range(P):
+        order = np.flatnonzero(which == i)
+        order = order[np.argsort(value[order])]
+        share = np.cumsum(n[order]) / n[order].sum()
+        low, centre[i], high = value[order][np.searchsorted(share, (0.25, 0.5, 0.75))] / 1000
         scale[i] = max(scale[i], (high - low) / 1.349)
-    return pd.DataFrame({"grp": [counts["grp"].iat[0]], "centre": [centre.tolist()], "inverse": [_inverse(np.diag(scale**2))]})
+    return _estimate(counts, centre, np.diag(scale**2))
 
 
-def _next(bins: pd.DataFrame) -> pd.DataFrame:
+def _next(bins: pa.Table) -> pa.Table:
     """The estimate from the nearest bins that hold ``KEEP`` of the group."""
-    bins = bins.sort_values("bin")
-    seen = bins["n"].cumsum().to_numpy()
-    m = bins.iloc[:np.searchsorted(seen, KEEP * seen[-1]) + 1].drop(columns=["grp", "bin"]).sum()
+    order = np.argsort(bins["bin"].to_numpy())
+    seen = np.cumsum(bins["n"].to_numpy()[order])
+    near = order[:np.searchsorted(seen, KEEP * seen[-1]) + 1]
+    m = {c: bins[c].to_numpy()[near].sum() for c in bins.column_names if c not in ("grp", "bin")}
     centre = np.array([m[f"s{i}"] for i in range(P)]) / m["n"]
     cov = np.array([[m[f"s{min(i, j)}{max(i, j)}"] for j in range(P)] for i in range(P)]) / m["n"] - np.outer(centre, centre)
-    cov = CONSISTENT * cov + np.diag(np.square(FLOORS))
-    return pd.DataFrame({"grp": [bins["grp"].iat[0]], "centre": [centre.tolist()], "inverse": [_inverse(cov)]})
+    return _estimate(bins, centre, CONSISTENT * cov + np.diag(np.square(FLOORS)))
 
 
 _ESTIMATE = "grp string, centre array<double>, inverse array<double>"
@@ -118,12 +120,12 @@ def fit(slim: DataFrame) -> DataFrame:
     x = [F.col(f"x{i}") for i in range(P)]
     rounded = F.posexplode(F.array(*[F.round(v * 1000).cast("long") for v in x])).alias("i", "value")
     estimate = stored(rows.select("grp", rounded).groupBy("grp", "i", "value").agg(F.count("*").alias("n"))
-                      .groupBy("grp").applyInPandas(_first, _ESTIMATE), "quality-estimate")
+                      .groupBy("grp").applyInArrow(_first, _ESTIMATE), "quality-estimate")
     moments = [F.count("*").alias("n"), *[F.sum(x[i]).alias(f"s{i}") for i in range(P)],
                *[F.sum(x[i] * x[j]).alias(f"s{i}{j}") for i in range(P) for j in range(i, P)]]
     for _ in range(STEPS):
         near = rows.join(_small(estimate), "grp").withColumn("bin", F.floor(16 * F.log(distance(x) + 1e-6)))
-        estimate = stored(near.groupBy("grp", "bin").agg(*moments).groupBy("grp").applyInPandas(_next, _ESTIMATE), "quality-estimate")
+        estimate = stored(near.groupBy("grp", "bin").agg(*moments).groupBy("grp").applyInArrow(_next, _ESTIMATE), "quality-estimate")
     return stored(groups.join(estimate, "grp").select("pair", "centre", "inverse"), "quality-fit")
 
 

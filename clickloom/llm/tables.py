@@ -17,7 +17,7 @@ Batches = Iterator[pa.RecordBatch]
 
 
 #: bytes of an Arrow batch: documents are long, and a worker holds a few copies of a batch
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 _shipped: set[str] = set()
 
 

@@ -2,6 +2,7 @@
 
 import odd
 import pandas as pd
+import pyarrow as pa
 import pytest
 from clickloom.llm import mixing
 from conftest import SF
@@ -57,7 +58,7 @@ def test_rates_are_an_exponential_tilt(spark):
 
 def test_rounding_stays_within_the_smallest_size():
     cells = pd.DataFrame({"cell_source": "a", "size": [500, 90, 7, 1], "n": [3, 20, 50, 10], "rate": [0.4, 1.7, 2.2, 0.3], "most": 3})
-    out = mixing._round_cells(cells)
+    out = mixing._round_cells(pa.Table.from_pandas(cells)).to_pandas()
     wanted = (cells["rate"] * cells["n"] * cells["size"]).sum()
     assert abs((out["size"] * out["copies"]).sum() - wanted) <= 1
     assert (out["copies"] <= 3 * out["n"]).all()
