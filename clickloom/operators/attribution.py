@@ -77,22 +77,17 @@ def _timeline(probes: DataFrame, credits: DataFrame) -> DataFrame:
         "user", "at", F.lit(_SESSION).alias("kind"),
         F.lit(None).cast("timestamp_ntz").alias("purchase_time"), "low", "high", "starts",
     )
-    return lookups.unionByName(marks).withColumn("hour_no", epoch_hour(F.col("at")))
+    # dealt out once: the windows within hours and the summaries of hours read the same shuffle
+    return lookups.unionByName(marks).withColumn("hour_no", epoch_hour(F.col("at"))).repartition("user", "hour_no")
 
 
-def _carry_over(probes: DataFrame, sessions: DataFrame) -> DataFrame:
+def _carry_over(timeline: DataFrame) -> DataFrame:
     """Per (user, hour): last session of earlier hours, first of later hours, sessions before."""
-    starts = sessions.select(
-        F.col("master_user_id").alias("user"),
-        epoch_hour(F.col("started_at")).alias("hour_no"),
-        F.struct(F.col("started_at").alias("at"), F.struct(*_CREDIT).alias("credit")).alias("start"),
-    )
-    asked = probes.select(
-        "user", epoch_hour(F.col("at")).alias("hour_no"),
-        F.lit(None).cast(starts.schema["start"].dataType).alias("start"),
-    )
-    hours = starts.unionByName(asked).groupBy("user", "hour_no").agg(
-        F.max("start").alias("last"), F.min("start").alias("first"), F.count("start").alias("starts")
+    is_session = F.col("kind") == _SESSION
+    hours = timeline.groupBy("user", "hour_no").agg(
+        F.max(F.when(is_session, F.struct("at", F.col("high").alias("credit")))).alias("last"),
+        F.min(F.when(is_session, F.struct("at", F.col("low").alias("credit")))).alias("first"),
+        F.sum("starts").alias("starts"),
     )
     forward = Window.partitionBy("user").orderBy("hour_no").rowsBetween(Window.unboundedPreceding, -1)
     backward = (
@@ -123,7 +118,7 @@ def credited_sessions(buys: DataFrame, sessions: DataFrame,
         F.last("low", ignorenulls=True).over(down).alias("after"),
         F.sum("starts").over(up).alias("starts"),
     ).where(F.col("kind") != _SESSION)
-    placed = within.join(_carry_over(probes, sessions), ["user", "hour_no"])
+    placed = within.join(_carry_over(timeline), ["user", "hour_no"])
     closes = F.col("kind") == _CLOSES
     count = F.col("starts") + F.col("carried_starts")
     return (
