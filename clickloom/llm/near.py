@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from clickloom.llm.setsketch import REGISTERS, jaccard, registers
-from clickloom.llm.tables import by_batch, names_of, stored, table
+from clickloom.llm.tables import by_batch, hinted, names_of, stored, table
 from clickloom.llm.words import NOT_SPACE, blocks, mix, shingles
 
 WIDTH = 5
@@ -122,10 +122,11 @@ def connected(links: DataFrame) -> DataFrame:
     both = stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "near-edges")
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")), "near-labels")
     while True:
-        around = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("least"))
-        hooked = labels.join(around, F.col("node") == F.col("a")).select(
+        known = hinted(labels)
+        around = both.join(known, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("least"))
+        hooked = around.join(known, F.col("node") == F.col("a")).select(
             "node", F.col("label").alias("old"), F.least("label", "least").alias("label"))
-        beyond = labels.select(F.col("node").alias("to"), F.col("label").alias("beyond"))
+        beyond = hinted(labels.select(F.col("node").alias("to"), F.col("label").alias("beyond")))
         moved = stored(hooked.join(beyond, F.col("label") == F.col("to")).select("node", "old", F.least("label", "beyond").alias("label")), "near-labels")
         labels = moved.select("node", "label")
         if moved.where("old <> label").isEmpty():
@@ -135,14 +136,14 @@ def connected(links: DataFrame) -> DataFrame:
 def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after more links: only the links between labels are followed, then labels are replaced."""
     def label_of(end: str) -> DataFrame:
-        return labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label"))
+        return hinted(labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label")))
 
     ends = links.join(label_of("a"), "a", "left").join(label_of("b"), "b", "left").select(
         F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b"))
-    least = connected(ends).select(F.col("node").alias("from"), F.col("label").alias("least"))
+    least = hinted(connected(ends).select(F.col("node").alias("from"), F.col("label").alias("least")))
     replaced = labels.join(least, F.col("label") == F.col("from"), "left").select("node", F.coalesce("least", "label").alias("label"))
     # nodes that had no label are labels of their own so far
-    fresh = least.join(labels, F.col("from") == F.col("node"), "left_anti").select(F.col("from").alias("node"), F.col("least").alias("label"))
+    fresh = least.join(hinted(labels), F.col("from") == F.col("node"), "left_anti").select(F.col("from").alias("node"), F.col("least").alias("label"))
     return stored(replaced.unionByName(fresh), "near-labels")
 
 
@@ -185,12 +186,13 @@ class Near:
     def labels(self) -> DataFrame:
         """node and label of all nodes that have a link."""
         hits = self.hits()
-        met = hits.groupBy("node").agg(F.sum("count").alias("met"))
-        wanted = met.join(self.nodes.select("node", "id", "text_hash"), "node").select("node", "id", "text_hash")
+        met = stored(hits.groupBy("node").agg(F.sum("count").alias("met")), "near-met")
+        wanted = hinted(met).join(self.nodes.select("node", "id", "text_hash"), "node").select("node", "id", "text_hash")
         self.sets = stored(self.texts.join(wanted, ["id", "text_hash"]).select("node", "text").mapInArrow(
             by_batch(_set_batch, ["node", "elements"]), "node long, elements binary").dropDuplicates(["node"]), "near-sets")
-        pivots = hits.join(met, "node").groupBy("key").agg(F.max(F.struct("met", (-F.col("node")).alias("minus"))).alias("pivot"))
-        star = hits.join(pivots.select("key", (-F.col("pivot.minus")).alias("pivot")), "key").where("node <> pivot").select(
+        pivots = hits.join(hinted(met), "node").groupBy("key").agg(F.max(F.struct("met", (-F.col("node")).alias("minus"))).alias("pivot"))
+        pivots = stored(pivots.select("key", (-F.col("pivot.minus")).alias("pivot")), "near-pivots")
+        star = hits.join(hinted(pivots), "key").where("node <> pivot").select(
             F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
         links = stored(self.confirm(star), "near-links")
         first = connected(links)
@@ -200,14 +202,14 @@ class Near:
     def _between(self, hits: DataFrame, labels: DataFrame) -> DataFrame:
         """Pairs in one bucket under different labels that could be similar."""
         label = F.coalesce("label", "node").alias("label")
-        marked = hits.join(labels, "node", "left").select("key", "band", "node", "n", label)
+        marked = hits.join(hinted(labels), "node", "left").select("key", "band", "node", "n", label)
         # buckets of one label are done; counts by label come first, so that no bucket is gathered
         parts = marked.groupBy("key", "label").count()
         main = parts.groupBy("key").agg(F.max(F.struct("count", "label")).alias("m"), F.count("*").alias("labels")).where("labels > 1").select(
             "key", F.col("m.label").alias("main"))
-        mixed = stored(marked.join(main, "key"), "near-mixed")
-        labelled = mixed.select("node", "label").distinct()
-        elements = stored(self.sets.join(labelled, "node").select("node", "label", "elements").mapInArrow(
+        mixed = stored(marked.join(hinted(stored(main, "near-main")), "key"), "near-mixed")
+        labelled = stored(mixed.select("node", "label").distinct(), "near-labelled")
+        elements = stored(self.sets.join(hinted(labelled), "node").select("node", "label", "elements").mapInArrow(
             by_batch(_single, ["node", "label", "element"]), "node long, label long, element long"), "near-elements")
         # how many nodes hold a shingle; what one label alone holds is not shared with others
         held = elements.groupBy("element").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("holders")).where("low <> high")
@@ -227,7 +229,7 @@ class Near:
             F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
 
     def labelled(self) -> DataFrame:
-        return self.nodes.join(self.labels(), "node", "left").select("s1", "s2", "id", "text_hash", F.coalesce("label", "node").alias("label"))
+        return self.nodes.join(hinted(self.labels()), "node", "left").select("s1", "s2", "id", "text_hash", F.coalesce("label", "node").alias("label"))
 
     def keepers(self) -> DataFrame:
         """Id and text hash of one document of each component; documents without words are in none."""

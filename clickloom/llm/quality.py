@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from clickloom.llm.tables import free_name, stored, table
+from clickloom.llm.tables import free_name, hinted, stored, table
 from clickloom.llm.textstats import statistics
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper")
@@ -70,11 +70,6 @@ def _group_names(slim: DataFrame) -> DataFrame:
         "pair", F.when(own, F.col("pair")).when(by_lang >= LEAST, F.to_json(F.struct("lang"))).otherwise("rest").alias("grp"))
 
 
-def _small(df: DataFrame, rows: int = 20_000) -> DataFrame:
-    """With a broadcast hint if it has few rows; else joined by shuffle, where adaptive execution splits hot keys."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def _estimate(group: pa.Table, centre: np.ndarray, cov: np.ndarray) -> pa.Table:
     kind = pa.list_(pa.float64())
     return pa.table({"grp": [group["grp"][0].as_py()], "centre": pa.array([centre], kind), "inverse": pa.array([np.linalg.inv(cov).ravel()], kind)})
@@ -116,7 +111,7 @@ def distance(x: list[Column]) -> Column:
 def fit(slim: DataFrame) -> DataFrame:
     """Estimates by (language, source) key ``pair``, from rows with pair, lang and the coordinates x0, x1, ..."""
     groups = stored(_group_names(slim), "quality-groups")
-    rows = slim.join(_small(groups), "pair").select("grp", *[f"x{i}" for i in range(P)])
+    rows = slim.join(hinted(groups), "pair").select("grp", *[f"x{i}" for i in range(P)])
     x = [F.col(f"x{i}") for i in range(P)]
     rounded = F.posexplode(F.array(*[F.round(v * 1000).cast("long") for v in x])).alias("i", "value")
     estimate = stored(rows.select("grp", rounded).groupBy("grp", "i", "value").agg(F.count("*").alias("n"))
@@ -124,7 +119,7 @@ def fit(slim: DataFrame) -> DataFrame:
     moments = [F.count("*").alias("n"), *[F.sum(x[i]).alias(f"s{i}") for i in range(P)],
                *[F.sum(x[i] * x[j]).alias(f"s{i}{j}") for i in range(P) for j in range(i, P)]]
     for _ in range(STEPS):
-        near = rows.join(_small(estimate), "grp").withColumn("bin", F.floor(16 * F.log(distance(x) + 1e-6)))
+        near = rows.join(hinted(estimate), "grp").withColumn("bin", F.floor(16 * F.log(distance(x) + 1e-6)))
         estimate = stored(near.groupBy("grp", "bin").agg(*moments).groupBy("grp").applyInArrow(_next, _ESTIMATE), "quality-estimate")
     return stored(groups.join(estimate, "grp").select("pair", "centre", "inverse"), "quality-fit")
 
@@ -144,7 +139,7 @@ def judge(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
         columns = [F.col("row")[c].alias(c) for c in docs.columns]
     else:
         rows, columns = slim, [F.col(f"keep_{i}").alias(k) for i, k in enumerate(keep)]
-    judged = rows.join(_small(estimates.withColumnRenamed("pair", "fit_pair")), F.col("pair") == F.col("fit_pair"), "left")
+    judged = rows.join(hinted(estimates.withColumnRenamed("pair", "fit_pair")), F.col("pair") == F.col("fit_pair"), "left")
     failed, far = base_failed(F.col("c")), distance(vector(F.col("c")))
     return judged.select(*columns, F.struct(
         F.col("c.*"), failed.alias("base_failed"), far.alias("distance"),

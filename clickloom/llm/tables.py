@@ -9,6 +9,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import broadcast
 
 import clickloom
 from clickloom.session import scratch_path
@@ -48,6 +49,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hinted(df: DataFrame, rows: int = 50_000) -> DataFrame:
+    """A stored table of narrow rows, with a broadcast hint if it has few; else a join shuffles, and splits hot keys."""
+    return broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def by_batch(work: Callable[..., Iterable[dict]], names: list[str], *args) -> Callable[[Batches], Batches]:
     """A function for mapInArrow: ``work(batch, *args)`` yields dicts of columns."""
 
