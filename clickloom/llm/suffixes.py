@@ -198,7 +198,8 @@ def _without(texts: pa.Array, parts: pa.Array) -> pa.Array:
     return pa.concat_arrays(out) if out else pa.array([], pa.string())
 
 
-without = F.arrow_udf(_without, T.StringType())
+# so marked, the filter on what is left does not make the plan cut a second time
+without = F.arrow_udf(_without, T.StringType()).asNondeterministic()
 
 
 def cut(docs: DataFrame, key: str = "doc_id", text: str = "text", n_chars: str = "n_chars") -> DataFrame:
