@@ -7,17 +7,20 @@ source and size share their rate, so the steps run over counts by (source, size)
 
 Rates become copies cell by cell, from the largest size down, so that tokens taken follow tokens wanted: the error of a
 source ends below its smallest size where a cell can still take or leave one. In a cell the documents with the smallest
-seeded hashes of their id take one copy more. Reruns agree.
+seeded hashes of their id and text take one copy more. Rows that share the last such hash are numbered, so that no more
+of them take it than are wanted. Reruns agree, but for which of the rows equal in id and text these are.
 
 Targets share all tokens by weight; one stops at ``MOST`` times its source's size and the excess goes to the others.
 
 A null text has size 0; size 0 keeps one copy, as copies of it cost nothing. A null source is a source of its own. Rows
-with equal id, source and size get equal copies (so many of them can shift a target). An empty table gives none. A
-column of the table named like one of the result's is replaced.
+without id or with a repeated one count like others; rows repeated in full can differ by one copy. An empty table gives
+none. A column of the table named like one of the result's is replaced.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -32,6 +35,8 @@ PRECISION = 1e-9
 OWN = ("size", "source_size", "target", "copies")
 #: documents of one (source, size) are ranked in pieces of about so many
 PIECE = 256
+#: numbered rows of one hash are counted in blocks of at most so many
+BLOCK = 4096
 
 
 def size_of(text: Column) -> Column:
@@ -116,7 +121,7 @@ def _round_cells(cells: pa.Table) -> pa.Table:
 def mix(docs: DataFrame, source: str = "source", text: str = "text", key: str = "doc_id", most: int = MOST,
         seed: int = SEED) -> DataFrame:
     """All rows with ``size``, ``source_size``, ``target`` and ``copies``."""
-    own = F.xxhash64(F.lit(seed), F.col(key))
+    own = F.xxhash64(F.lit(seed), F.col(key), F.col(text))
     # the only pass over texts
     slim = stored(docs.select(F.col(source).alias("cell_source"), size_of(F.col(text)).alias("size"), own.alias("h")), "mix-sizes")
     cells = stored(slim.groupBy("cell_source", "size").agg(F.count("*").alias("n")), "mix-cells")
@@ -147,19 +152,50 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", key: str =
         "rest", F.col("more") - F.coalesce(F.sum("here").over(before), F.lit(0))).where("rest > 0 AND rest <= here").select(
         F.col("cell_source").alias("s"), F.col("size").alias("z"), F.col("piece").alias("p"), "rest")
     last = split.join(counted, F.col("cell_source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("piece") == F.col("p")))
-    ranked = last.withColumn("rank", F.row_number().over(Window.partitionBy("cell_source", "size").orderBy("h")))
-    cuts = ranked.where("rank = rest").select(F.col("cell_source").alias("cut_source"), F.col("size").alias("cut_size"), F.col("h").alias("cut"))
+    # rows of one hash are one row here, with their count
+    upto = Window.partitionBy("cell_source", "size").orderBy("h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = last.groupBy("cell_source", "size", "h").agg(F.count("*").alias("here"), F.first("rest").alias("rest")).withColumn(
+        "upto", F.sum("here").over(upto))
+    cuts = ranked.where("rest <= upto AND rest > upto - here").select(
+        F.col("cell_source").alias("cut_source"), F.col("size").alias("cut_size"), F.col("h").alias("cut"),
+        F.when(F.col("rest") < F.col("upto"), F.col("rest") - F.col("upto") + F.col("here")).alias("part"))
     plan = whole.join(cuts, F.col("cell_source").eqNullSafe(F.col("cut_source")) & (F.col("size") == F.col("cut_size")), "left").select(
-        F.col("cell_source").alias("plan_source"), F.col("size").alias("plan_size"), "each", "cut")
+        F.col("cell_source").alias("plan_source"), F.col("size").alias("plan_size"), "each", "cut", "part")
     plan = stored(plan.join(goals.withColumnRenamed("source", "g"), F.col("plan_source").eqNullSafe(F.col("g"))).drop("g", "mean"), "mix-plan")
     none = goals.select(F.col("source").alias("plan_source"), F.lit(0).cast("long").alias("plan_size"), F.lit(1).cast("long").alias("each"),
-                        F.lit(None).cast("long").alias("cut"), "source_size", "target")
+                        F.lit(None).cast("long").alias("cut"), F.lit(None).cast("long").alias("part"), "source_size", "target")
 
     measured = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(source).alias("doc_source"),
                            size_of(F.col(text)).alias("size"), own.alias("h"))
-    joined = measured.join(plan.unionByName(none), F.col("doc_source").eqNullSafe(F.col("plan_source")) & (F.col("size") == F.col("plan_size")))
-    copies = F.col("each") + F.coalesce((F.col("h") <= F.col("cut")).cast("long"), F.lit(0))
-    return joined.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in OWN], "size", "source_size", "target", copies.alias("copies"))
+    def planned(rows: DataFrame) -> DataFrame:
+        return measured.join(rows, F.col("doc_source").eqNullSafe(F.col("plan_source")) & (F.col("size") == F.col("plan_size")))
+
+    def result(rows: DataFrame, more: Column) -> DataFrame:
+        return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in OWN], "size", "source_size", "target",
+                           (F.col("each") + F.coalesce(more.cast("long"), F.lit(0))).alias("copies"))
+
+    at_cut = F.coalesce(F.col("part").isNotNull() & (F.col("h") == F.col("cut")), F.lit(False))
+    everything = planned(plan.unionByName(none))
+    split_cuts = plan.where("part IS NOT NULL")
+    if split_cuts.isEmpty():
+        return result(everything, F.col("h") <= F.col("cut"))
+    # of the rows that share a cut hash only some take one more: these rows are kept with a number
+    equal = stored(planned(split_cuts).where(at_cut).withColumn("number", F.monotonically_increasing_id()), "mix-equal")
+    return result(everything.where(~at_cut), F.col("h") <= F.col("cut")).unionByName(_numbered(equal, result))
+
+
+def _numbered(equal: DataFrame, result: Callable[[DataFrame, Column], DataFrame]) -> DataFrame:
+    """Results of numbered rows, of which the first ``part`` of each (source, size) take one copy more."""
+    cell = ["plan_source", "plan_size"]
+    slim = equal.select(*cell, "part", "number", F.floor(F.col("number") / F.lit(BLOCK)).alias("block"))
+    before = Window.partitionBy(*cell).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = slim.groupBy(*cell, "block").agg(F.count("*").alias("here"), F.first("part").alias("part")).withColumn(
+        "rest", F.col("part") - F.coalesce(F.sum("here").over(before), F.lit(0))).where("rest > 0 AND rest <= here").select(
+        F.col("plan_source").alias("s"), F.col("plan_size").alias("z"), F.col("block").alias("b"), "rest")
+    last = slim.join(blocks, F.col("plan_source").eqNullSafe(F.col("s")) & (F.col("plan_size") == F.col("z")) & (F.col("block") == F.col("b")))
+    ends = stored(last.withColumn("rank", F.row_number().over(Window.partitionBy(*cell).orderBy("number"))).where("rank = rest").select(
+        "s", "z", F.col("number").alias("last")), "mix-last")
+    return result(equal.join(ends, F.col("plan_source").eqNullSafe(F.col("s")) & (F.col("plan_size") == F.col("z"))), F.col("number") <= F.col("last"))
 
 
 def expand(mixed: DataFrame, columns: list[str]) -> DataFrame:

@@ -73,3 +73,17 @@ def test_odd_documents(spark):
     full = mixing.expand(out, ["doc_id", "text", "mix_size"])
     assert full.count() == sum(r.copies for r in rows)
     assert mixing.mix(odd.empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("others", [20, 230])
+def test_rows_without_id_or_repeated_meet_their_target(spark, others):
+    """A source whose rows share an id, or an id and a text, is thinned or raised as far as any other."""
+    texts = [" ".join(["word"] * (5 + i % 4)) + f" {i}" for i in range(300)]
+    rows = [(None, "a", t) for t in texts] + [(7, "a", texts[0])] * 300 + [(i, "b", "x " * 100) for i in range(others)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
+    out = mixing.mix(docs).select("source", "size", "target", "copies").toPandas()
+    assert len(out) == len(rows)
+    a = out[out["source"] == "a"]
+    taken, target = (a["size"] * a["copies"]).sum(), a["target"].iloc[0]
+    assert abs(taken - target) <= a["size"].min(), (taken, target)
+    assert a.groupby("size")["copies"].agg(lambda c: c.max() - c.min()).max() <= 1
