@@ -8,8 +8,9 @@ A step is one aggregation: moments by group and distance bin, combined before th
 costs a few hundred small rows. The first estimate is the middle of coordinatewise quartiles, from counts of rounded
 values. Documents that fail the base rules take no part in the estimates.
 
-Groups below ``LEAST`` documents are pooled by language, then all together. Null languages and sources are values of
-their own. A null or empty text has no words and fails the base rules. Rows are judged one by one, so repeated rows get
+A pair of language and source below ``LEAST`` documents is judged by the estimate of its whole language, large sources
+included. A language below ``LEAST`` has an estimate of its own, whose floors (as variances) weigh ``LEAST`` / n times as
+much: few documents tell little of the scatter. Languages never mix. Null languages and sources are values of their own. A null or empty text has no words and fails the base rules. Rows are judged one by one, so repeated rows get
 equal verdicts; columns of the table that are named like the method's own stay as they are. An empty table gives none.
 """
 
@@ -64,11 +65,13 @@ def _key(lang: str, source: str) -> Column:
 
 
 def _group_names(slim: DataFrame) -> DataFrame:
-    """Which estimate each (language, source) uses."""
+    """Which estimate each (language, source) uses, ``grp``, and which it takes part in, ``feeds``."""
     own = F.col("n") >= LEAST
-    by_lang = F.sum(F.when(~own, F.col("n")).otherwise(0)).over(Window.partitionBy("lang"))
+    whole = F.concat(F.lit("lang "), F.to_json(F.struct("lang")))  # no pair's key begins so
+    some_small = F.max(~own).over(Window.partitionBy("lang"))
     return slim.groupBy("pair", "lang").agg(F.count("*").alias("n")).select(
-        "pair", F.when(own, F.col("pair")).when(by_lang >= LEAST, F.to_json(F.struct("lang"))).otherwise("rest").alias("grp"))
+        "pair", F.when(own, F.col("pair")).otherwise(whole).alias("grp"),
+        F.array_compact(F.array(F.when(own, F.col("pair")), F.when(some_small, whole))).alias("feeds"))
 
 
 def _estimate(group: pa.Table, centre: np.ndarray, cov: np.ndarray) -> pa.Table:
@@ -76,10 +79,15 @@ def _estimate(group: pa.Table, centre: np.ndarray, cov: np.ndarray) -> pa.Table:
     return pa.table({"grp": [group["grp"][0].as_py()], "centre": pa.array([centre], kind), "inverse": pa.array([np.linalg.inv(cov).ravel()], kind)})
 
 
+def _floor(n: int) -> np.ndarray:
+    """Variances added to the estimate of a group of n documents."""
+    return np.square(FLOORS) * max(1, LEAST / n)
+
+
 def _first(counts: pa.Table) -> pa.Table:
     """Quartiles of each coordinate from counts of rounded values."""
     which, value, n = (counts[c].to_numpy() for c in ("i", "value", "n"))
-    centre, scale = np.zeros(P), np.array(FLOORS)
+    centre, scale = np.zeros(P), np.sqrt(_floor(n.sum() / P))
     for i in range(P):
         order = np.flatnonzero(which == i)
         order = order[np.argsort(value[order])]
@@ -97,7 +105,7 @@ def _next(bins: pa.Table) -> pa.Table:
     m = {c: bins[c].to_numpy()[near].sum() for c in bins.column_names if c not in ("grp", "bin")}
     centre = np.array([m[f"s{i}"] for i in range(P)]) / m["n"]
     cov = np.array([[m[f"s{min(i, j)}{max(i, j)}"] for j in range(P)] for i in range(P)]) / m["n"] - np.outer(centre, centre)
-    return _estimate(bins, centre, CONSISTENT * cov + np.diag(np.square(FLOORS)))
+    return _estimate(bins, centre, CONSISTENT * cov + np.diag(_floor(seen[-1])))
 
 
 _ESTIMATE = "grp string, centre array<double>, inverse array<double>"
@@ -112,7 +120,7 @@ def distance(x: list[Column]) -> Column:
 def fit(slim: DataFrame) -> DataFrame:
     """Estimates by (language, source) key ``pair``, from rows with pair, lang and the coordinates x0, x1, ..."""
     groups = stored(_group_names(slim), "quality-groups")
-    rows = slim.join(hinted(groups), "pair").select("grp", *[f"x{i}" for i in range(P)])
+    rows = slim.join(hinted(groups.select("pair", "feeds")), "pair").select(F.explode("feeds").alias("grp"), *[f"x{i}" for i in range(P)])
     x = [F.col(f"x{i}") for i in range(P)]
     rounded = F.posexplode(F.array(*[F.round(v * 1000).cast("long") for v in x])).alias("i", "value")
     estimate = stored(rows.select("grp", rounded).groupBy("grp", "i", "value").agg(F.count("*").alias("n"))

@@ -73,3 +73,18 @@ def test_odd_documents(spark):
     assert left.columns == docs.columns
     assert not {4, 5, 6, 10} & {r.doc_id for r in left.collect()}
     assert quality.judge(odd.empty(spark)).count() == 0
+
+
+def test_small_groups_are_judged_by_their_own_language(spark):
+    rng = np.random.default_rng(8)
+    kinds = "pair string, lang string, x0 double, x1 double, x2 double, x3 double, x4 double"
+    sizes = {("e1", "en"): 900, ("e2", "en"): 30, ("r1", "rare"): 40, ("z1", "zz"): 60, ("z2", "zz"): 60, ("n", None): 3}
+    middle = {"en": [1.6, 0, 0.02, 0.01, -4], "rare": [3.5, 0, 0.02, 0.01, -6], "zz": [0.3, 2, 0.02, 0.01, -1], None: [2.5, 0, 0.02, 0.01, -2]}
+    rows = [(*of, *map(float, r)) for of, n in sizes.items() for r in rng.normal(middle[of[1]], [0.1, 0.3, 0.05, 0.02, 0.2], (n, 5))]
+    fits = {r.pair: (np.array(r.centre), np.array(r.inverse).reshape(5, 5)) for r in quality.fit(spark.createDataFrame(rows, kinds)).collect()}
+    assert fits.keys() == {p for p, _ in sizes}
+    far = lambda pair, x: (x - fits[pair][0]) @ fits[pair][1] @ (x - fits[pair][0])
+    assert all(far(r[0], np.array(r[2:])) <= quality.CUT for r in rows)
+    # texts like those of another language do not pass
+    assert all(far(p, np.array(middle[o])) > quality.CUT for p, lang in sizes for o in ("en", "rare", "zz") if lang and o != lang)
+    assert np.allclose(fits["e1"][0], fits["e2"][0], atol=0.05)
