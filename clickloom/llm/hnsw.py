@@ -4,7 +4,7 @@ Points are ordered by level, highest first, so each layer holds a prefix of them
 (-1 where a list is short). A layer starts with the links of the layer above and takes the rest of its points in
 batches: a beam search finds candidates among the points already there, those of the batch are compared directly, and
 links go to near points in different directions. Largest inner products become smallest distances by one more
-coordinate, which lifts all points to the length of the longest.
+coordinate, which lifts all points to the length of the longest, here 1.
 """
 
 from __future__ import annotations
@@ -44,11 +44,22 @@ class Graph:
         return Graph(np.frombuffer(points, np.float32).reshape(sizes[0], -1), layers)
 
 
+def unit(vectors: np.ndarray) -> np.ndarray:
+    """Rows at length 1, whatever finite length they have; in double precision."""
+    vectors = vectors / np.abs(vectors).max(1, keepdims=True, initial=np.finfo(float).tiny)
+    return vectors / np.maximum(np.sqrt(np.einsum("ij,ij->i", vectors, vectors)), np.finfo(float).tiny)[:, None]
+
+
 def lift(vectors: np.ndarray) -> np.ndarray:
-    """Points of equal length, whose distances to ``(query, 0)`` order like inner products from the largest."""
-    squares = np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64)
-    extra = np.sqrt(np.maximum(squares.max(initial=0) - squares, 0))
-    return np.column_stack([vectors, extra]).astype(np.float32)
+    """Points of length 1, whose distances to ``(query, 0)`` order like inner products from the largest.
+
+    Precise for vectors whose lengths differ by a small factor.
+    """
+    vectors = np.asarray(vectors, np.float64) / np.abs(vectors).max(initial=np.finfo(float).tiny)
+    squares = np.einsum("ij,ij->i", vectors, vectors)
+    longest = squares.max(initial=np.finfo(float).tiny)
+    extra = np.sqrt(np.maximum(longest - squares, 0))
+    return (np.column_stack([vectors, extra]) / np.sqrt(longest)).astype(np.float32)
 
 
 def _distances(points: np.ndarray, which: np.ndarray, queries: np.ndarray, rows: np.ndarray) -> np.ndarray:

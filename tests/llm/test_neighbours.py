@@ -60,3 +60,21 @@ def test_odd_vectors(spark):
     assert neighbours.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
     few = neighbours.nearest(df.where("vec_id < 3"), F.lit(True), k=20).collect()
     assert sorted((r.query_id, r.vec_id) for r in few) == [(0, 1), (1, 0)]
+
+
+def test_recall_with_vectors_of_very_different_length(spark):
+    """A few vectors 1e4, 1e20 and 1e-20 times as long leave the others' neighbours as they are."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(2000, 16)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[:40] *= np.float32(1e4)
+    x[40:80] *= np.float32(1e20)
+    x[80:90] *= np.float32(1e-20)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], DDL)
+    got = {}
+    for r in neighbours.nearest(df, F.col("vec_id") % 20 == 15, k=100).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    wide = x.astype(np.float64)
+    assert len(got) == 100
+    hits = sum(len(found & {i for i, _ in exact(dict(enumerate(wide)), q, 100)}) for q, found in got.items())
+    assert hits >= 0.95 * 100 * len(got)
