@@ -37,3 +37,23 @@ def test_odd_documents(spark, tmp_path):
 def test_no_python_in_the_plan(spark):
     plan = sharding.op1_sharding(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_equal_rows_beyond_a_bucket_are_dealt(spark):
+    text = "same text " * 10
+    data = [(None, text, 1)] * 700 + [(5, text, 1)] * 300 + [(i, f"{text}{i}", 1) for i in range(1000)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, n_chars long").repartition(6)
+    out = sharding.shard(docs, 4, bucket_bytes=4096)
+    rows = out.collect()
+    assert sorted(map(str, (r[:3] for r in rows))) == sorted(map(str, data))
+    shards = {}
+    for r in rows:
+        shards.setdefault(r.shard, []).append(r)
+    assert all(sorted(r.slot for r in s) == list(range(len(s))) for s in shards.values())
+    assert len({r.shard for r in rows if r.doc_id is None}) == 1
+    # dealt over the whole shard: no long run of slots is theirs alone
+    for s in shards.values():
+        mine = [r.doc_id is None for r in sorted(s, key=lambda r: r.slot)]
+        if 0 < sum(mine) < len(mine):
+            runs = "".join("x" if m else " " for m in mine).split()
+            assert max(map(len, runs)) < 100
