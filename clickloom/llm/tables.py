@@ -49,6 +49,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Deletes a stored table that nothing reads any more."""
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0]).getParent() if df.inputFiles() else None
+    if folder:
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def hinted(df: DataFrame, rows: int = 50_000) -> DataFrame:
     """A stored table of narrow rows, with a broadcast hint if it has few; else a join shuffles, and splits hot keys."""
     return broadcast(df) if df.limit(rows + 1).count() <= rows else df
