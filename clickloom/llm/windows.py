@@ -50,7 +50,7 @@ def _windows(block: Block, width: int, letters: np.ndarray = EXACT) -> tuple[Spa
 
 
 def _counted(batch: pa.RecordBatch, width: int, bits: int, shard_bits: int) -> Iterator[dict]:
-    """Each short hash of a block and shard once, with the number of documents that have it."""
+    """Each short hash of a block and shard once, or twice if two documents have it."""
     shards = batch["shard"].to_numpy().astype(np.uint64)
     for block in blocks(batch["text"], BLOCK_BYTES):
         _, _, owner, hashes = _windows(block, width)
@@ -62,8 +62,8 @@ def _counted(batch: pa.RecordBatch, width: int, bits: int, shard_bits: int) -> I
         document = fresh.copy()
         document[1:] |= owner[1:] != owner[:-1]
         heads = np.flatnonzero(fresh)
-        yield {"packed": packed[heads].view(np.int64),
-               "n": np.add.reduceat(document, heads, dtype=np.int32) if len(heads) else np.zeros(0, np.int32)}
+        shared = np.add.reduceat(document, heads, dtype=np.int64) > 1 if len(heads) else fresh
+        yield {"packed": np.concatenate([packed[heads], packed[heads[shared]]]).view(np.int64)}
 
 
 def _listed(batches: Batches, width: int, bits: int) -> Batches:
@@ -160,11 +160,12 @@ class Repeats:
         texts = self.rows.where(~F.col("copy") & F.col("text").isNotNull()).withColumn(
             "shard", F.xxhash64("row").bitwiseAND((1 << self.shard_bits) - 1))
         packed = texts.select("shard", "text").mapInArrow(
-            by_batch(_counted, ["packed", "n"], self.width, self.bits, self.shard_bits), "packed long, n int")
-        short = packed.select(F.shiftrightunsigned("packed", self.shard_bits).alias("key"), "packed", "n")
-        total = F.sum("n").over(Window.partitionBy("key"))
-        twice = short.withColumn("total", total).where("total > 1").select(
-            F.col("packed").bitwiseAND((1 << self.shard_bits) - 1).alias("shard"), F.lit(False).alias("is_text"), "key")
+            by_batch(_counted, ["packed"], self.width, self.bits, self.shard_bits), "packed long")
+        # only the packed number is shuffled; the lists are written, so that its files can go
+        key = F.shiftrightunsigned("packed", self.shard_bits)
+        met = packed.repartition(key).select(key.alias("key"), "packed").withColumn("total", F.count("*").over(Window.partitionBy("key")))
+        twice = stored(met.where("total > 1").select(
+            F.col("packed").bitwiseAND((1 << self.shard_bits) - 1).alias("shard"), F.lit(False).alias("is_text"), "key"), "windows-lists")
         both = twice.unionByName(texts.select("shard", F.lit(True).alias("is_text"), "text", "id", "row"), allowMissingColumns=True)
         width, bits = self.width, self.bits
         return both.repartition("shard").sortWithinPartitions("shard", "is_text").mapInArrow(
