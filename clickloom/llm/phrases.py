@@ -19,7 +19,7 @@ empty table gives none.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from clickloom.llm.tables import by_batch, dropped, hinted, names_of, prepare, stored, table
+from clickloom.llm.tables import Batches, by_batch, dropped, gathered, hinted, names_of, prepare, stored, table
 from clickloom.llm.words import LOWER, blocks, byte_set, mix, span_hashes
 from clickloom.session import scratch_path
 
@@ -98,6 +98,11 @@ def _scan(batch: pa.RecordBatch, scan: int, shards: int, longest: int, shared: B
             places, since = places[since < NEVER], since[since < NEVER]
 
 
+def _scanned(*args) -> Callable[[Batches], Batches]:
+    scan = by_batch(_scan, names_of(COUNTED), *args)
+    return lambda batches: scan(gathered(batches, BLOCK_BYTES))
+
+
 class Phrases:
     """Counts of all phrases that occur often enough, by language."""
 
@@ -117,7 +122,7 @@ class Phrases:
             scan += 1
             shared = self.spark.sparkContext.broadcast(self.filled)
             shard = self.rows.where(F.col("shard") == (scan - 1) % self.shards).select("lang", F.xxhash64("lang").alias("lang_hash"), "text")
-            seen = shard.mapInArrow(by_batch(_scan, names_of(COUNTED), scan, self.shards, self.longest, shared), COUNTED).withColumn("reached", F.lit(None).cast("int"))
+            seen = shard.mapInArrow(_scanned(scan, self.shards, self.longest, shared), COUNTED).withColumn("reached", F.lit(None).cast("int"))
             both = seen.unionByName(state) if state else seen
             total = both.groupBy("lang", "phrase", "words").agg(
                 F.min("key").alias("key"), F.min("since").alias("since"), F.sum("f").alias("f"), F.min("reached").alias("reached"))

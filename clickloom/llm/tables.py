@@ -74,6 +74,19 @@ def by_batch(work: Callable[..., Iterable[dict]], names: list[str], *args) -> Ca
     return run
 
 
+def gathered(batches: Batches, limit: int) -> Batches:
+    """Small batches joined to some of up to ``limit`` bytes."""
+    parts, size = [], 0
+    for batch in batches:
+        if parts and size + batch.nbytes > limit:
+            yield from pa.Table.from_batches(parts).combine_chunks().to_batches()
+            parts, size = [], 0
+        parts.append(batch)
+        size += batch.nbytes
+    if parts:
+        yield from pa.Table.from_batches(parts).combine_chunks().to_batches()
+
+
 def names_of(schema: str) -> list[str]:
     return [field.split()[0] for field in schema.split(", ")]
 
