@@ -6,8 +6,11 @@ All of it works on the wall-clock fields of TIMESTAMP_NTZ, so results do not dep
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F, types as T
 
+
 def epoch_day(ts: Column) -> Column:
     return F.unix_date(ts.cast("date")).cast("bigint")
 
@@ -69,28 +72,47 @@ def _zone(text: Column) -> Column:
     return F.when(F.upper(text) == "Z", "Z").otherwise(offset)
 
 
-def parse_timestamp(text: Column) -> Column:
-    """Trimmed text to TIMESTAMP_NTZ in UTC, NULL where it is not a date and time.
+# The shape nearly all stamps have; its only zone is UTC, so a cast that passes over zones reads it right.
+CANONICAL = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(?:[.][0-9]+)?Z?$"
 
-    An offset or a named zone is converted to UTC; text without a zone is taken as UTC. A zone that
-    is unknown makes the text no timestamp, as does time-only text.
-    """
-    starts_with_year = text.rlike(r"^[0-9]{4}([^0-9/]|$)|^[0-9]{8}[T ]")
-    plain = _iso(text)
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value worked out once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _iso_timestamp(plain: Column) -> Column:
+    """ISO 8601 text in plain spelling; a clock time with a zone is converted to UTC."""
     parts = r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[T ][0-9:.]+) ?([A-Za-z+-].*)$"
-    zone = F.regexp_extract(plain, parts, 2)
-    clock_time = F.regexp_replace(F.regexp_extract(plain, parts, 1), r"^([0-9-]+[T ][0-9]{1,2}:[0-9]{1,2})$", "$1:00")
-    zoned = F.concat(clock_time, F.when(zone.rlike("^[A-Za-z]{2}"), " ").otherwise(""), _zone(zone))
-    iso = F.when(
-        starts_with_year,
-        F.when(zone != "", _utc_wall_clock(zoned.try_cast("timestamp"))).otherwise(plain.try_cast("timestamp_ntz")),
-    )
+
+    def zoned(zone: Column) -> Column:
+        clock_time = F.regexp_replace(F.regexp_extract(plain, parts, 1), r"^([0-9-]+[T ][0-9]{1,2}:[0-9]{1,2})$", "$1:00")
+        whole = F.concat(clock_time, F.when(zone.rlike("^[A-Za-z]{2}"), " ").otherwise(""), _zone(zone))
+        return F.when(zone == "", plain.try_cast("timestamp_ntz")).otherwise(_utc_wall_clock(whole.try_cast("timestamp")))
+
+    return _bound(F.regexp_extract(plain, parts, 2), zoned)
+
+
+def _spelled_timestamp(text: Column) -> Column:
+    """Text of any accepted spelling."""
     # the shape picks one format, so other text is refused without a parsing attempt
     spelling = F
     for shape, fmt in EXTRA_DATE_FORMATS:
         spelling = spelling.when(text.rlike(shape), fmt)
     day_first = F.when(text.rlike(r"^(1[3-9]|[23][0-9])/"), DAY_FIRST_FORMAT)
-    return F.coalesce(iso, F.try_to_timestamp(text, F.coalesce(day_first, spelling)).cast("timestamp_ntz"))
+    other = F.try_to_timestamp(text, F.coalesce(day_first, spelling)).cast("timestamp_ntz")
+    starts_with_year = text.rlike(r"^[0-9]{4}([^0-9/]|$)|^[0-9]{8}[T ]")
+    return F.coalesce(F.when(starts_with_year, _bound(_iso(text), _iso_timestamp)), other)
+
+
+def parse_timestamp(text: Column) -> Column:
+    """Trimmed text to TIMESTAMP_NTZ in UTC, NULL where it is not a date and time.
+
+    An offset or a named zone is converted to UTC; text without a zone is taken as UTC. A zone that
+    is unknown makes the text no timestamp, as does time-only text. One look at the shape sends
+    canonical text to a cast, and only other text through the rules for further spellings.
+    """
+    return F.when(text.rlike(CANONICAL), text.try_cast("timestamp_ntz")).otherwise(_spelled_timestamp(text))
 
 
 def epoch_number_to_timestamp(number: Column) -> Column:
