@@ -1,8 +1,11 @@
 """CSV event files whose headers drift.
 
-Files are grouped by their header record and each group is scanned once: as lines where no file of
-the group has a line break inside quotes, else as records. Cells are renamed, merged and derived by
-plain expressions, so one run over many shapes stays one DataFrame.
+A first scan looks at line ends, quotes and lines that may be headers, and tells three kinds of file.
+Plain files have no line break inside quotes, one line like their header and no blank line: their rows
+are all other lines, whatever their order, parsed in one scan. Files with more such lines need the
+place of those; files with breaks inside quotes are read as records. Files are grouped by kind and
+header, and cells are renamed, merged and derived by plain expressions, so one run over many shapes
+stays one DataFrame.
 
 One grammar holds for files of every size. A header is the first line that is not blank, and more
 lines while a quote is open. After it, lines without any character are no rows; lines of blanks are.
@@ -12,6 +15,7 @@ A quote opens a cell only as its first character. Line breaks inside quotes stay
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -162,22 +166,70 @@ def file_list(spark: SparkSession, files: Iterable[SourceFile]) -> DataFrame:
     return spark.createDataFrame([(f.name,) for f in files], "source_file string")
 
 
-def spanning_files(spark: SparkSession, paths: list[str]) -> set[str]:
-    """Paths holding at least one line break inside quotes; a parallel scan of the lines."""
-    hits = (
-        spark.read.option("lineSep", "\n").text(paths)
-        .where(F.col("value").contains('"') & csv_records.open_after(csv_records.without_return(F.col("value")), False))
-        .select(csv_records.file_path().alias("path"))
-        .distinct()
-    )
-    return {row["path"] for row in hits.collect()}
+# What may stand around the names of a header line without changing them.
+_AROUND = ' \t"\ufeff'
+
+
+def _bare(name: str) -> str:
+    return "".join(c for c in name if c not in _AROUND)
+
+
+def _token(name: str) -> str:
+    """A part of the name that each spelling of it holds."""
+    return max(re.findall(r"[A-Za-z0-9_]+", name), key=len, default="")
+
+
+def _is_blank(record: Column) -> Column:
+    """Nothing but blanks; lines that begin otherwise pass unread."""
+    first = F.ascii(record)
+    return F.when(first.isin(32, 9, 0xFEFF), F.trim(F.translate(record, "\t\ufeff", "  ")) == "").otherwise(record == "")
+
+
+def _may_be_header(record: Column, first: Column, last: Column, bare: Column) -> Column:
+    """True for each line whose cells are the header's names, and for few others.
+
+    Only lines with parts of the first and last name are read whole.
+    """
+    named = F.contains(record, first) & F.contains(record, last)
+    return F.when(named, F.translate(record, _AROUND, "") == bare).otherwise(False)
+
+
+def _header_marks(shape: HeaderShape) -> tuple[str, str, str]:
+    if not shape.headers:
+        return "", "", ""
+    return _token(shape.headers[0]), _token(shape.headers[-1]), ",".join(map(_bare, shape.headers))
+
+
+PLAIN, ORDERED, RECORDS = "plain", "ordered", "records"
+
+
+def _by_header(files: Iterable[SourceFile]) -> dict[tuple[HeaderShape, str], list[SourceFile]]:
+    """Files by header and by the folder that their names are below."""
+    groups: dict[tuple[HeaderShape, str], list[SourceFile]] = {}
+    for f in files:
+        groups.setdefault((f.shape, f.path.removesuffix(f.name)), []).append(f)
+    return groups
+
+
+def file_kinds(spark: SparkSession, files: list[SourceFile]) -> dict[str, str]:
+    """How each file is read, by path; a parallel scan of the lines, without parsing them."""
+    def looked_at(shape: HeaderShape, group: list[SourceFile]) -> DataFrame:
+        record = csv_records.without_return(F.col("value"))
+        return spark.read.option("lineSep", "\n").text([f.path for f in group]).select(
+            csv_records.file_path().alias("path"),
+            csv_records.open_after(record, False).alias("opens"),
+            _may_be_header(record, *map(F.lit, _header_marks(shape))).alias("header"),
+            ((record != "") & _is_blank(record)).alias("blank"))
+
+    lines = reduce(DataFrame.unionByName, [looked_at(shape, group) for (shape, _), group in _by_header(files).items()])
+    found = lines.groupBy("path").agg(F.max("opens").alias("spans"), F.count_if("header").alias("headers"), F.count_if("blank").alias("blanks"))
+    return {r.path: RECORDS if r.spans else PLAIN if (r.headers, r.blanks) == (1, 0) else ORDERED for r in found.toLocalIterator()}
 
 
 def _after_header(rows: DataFrame, headers: Column) -> DataFrame:
-    """Rows behind their file's header. Only rows that look like it, or are blank, need their place."""
+    """Rows behind their file's header, found by its place. Only rows that look like it, or are blank, are put in order."""
     like_header = F.transform("cells", lambda c: F.trim(F.replace(F.coalesce(c, F.lit("")), F.lit("\ufeff"), F.lit("")))) == headers
-    blank = F.trim(F.translate("record", "\t\ufeff", "  ")) == ""
-    marked = rows.withColumns({"like_header": F.coalesce(like_header, F.lit(False)), "blank": blank})
+    marked = rows.withColumns({"like_header": F.coalesce(like_header, F.lit(False)), "blank": _is_blank(F.col("record"))})
     sure = marked.where("NOT like_header AND NOT blank")
     order = Window.partitionBy("path").orderBy("block", "place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seen = F.sum(F.col("like_header").cast("int")).over(order)
@@ -185,18 +237,20 @@ def _after_header(rows: DataFrame, headers: Column) -> DataFrame:
     return sure.unionByName(rest.drop("seen"))
 
 
-def _read_shape(spark: SparkSession, shape: HeaderShape, files: list[SourceFile], spanning: bool) -> DataFrame:
+def _read_shape(spark: SparkSession, shape: HeaderShape, folder: str, files: list[SourceFile], kind: str) -> DataFrame:
     paths = [f.path for f in files]
     positions = [f"_c{i}" for i in range(len(shape.headers))]
-    rows = csv_records.read_records(spark, paths) if spanning else csv_records.read_lines(spark, paths)
+    rows = csv_records.read_records(spark, paths) if kind == RECORDS else csv_records.read_lines(spark, paths)
+    if kind == PLAIN:
+        rows = rows.where(~_may_be_header(F.col("record"), *map(F.lit, _header_marks(shape))))
     if positions:
         ddl = ", ".join(f"{p} string" for p in positions)
         parsed = F.from_csv("record", ddl, {"escape": '"', "mode": "PERMISSIVE", "multiLine": "true", "maxCharsPerColumn": "-1"})
         rows = rows.withColumn("parsed", parsed).withColumn("cells", F.array(*[F.col("parsed")[p] for p in positions]))
-        rows = _after_header(rows, F.array(*[F.lit(h) for h in shape.headers]))
-    names = spark.createDataFrame([(f.path, f.name) for f in files], "file string, source_file string")
-    named = rows.join(names, F.col("path") == F.col("file"))
-    cells = named.select("source_file", *[F.when(~F.col("broken"), F.col("cells")[i]).alias(p) for i, p in enumerate(positions)])
+        if kind != PLAIN:
+            rows = _after_header(rows, F.array(*[F.lit(h) for h in shape.headers]))
+    name = F.substring(F.col("path"), F.lit(len(folder) + 1), F.length("path"))
+    cells = rows.select(name.alias("source_file"), *[F.when(~F.col("broken"), F.col("cells")[i]).alias(p) for i, p in enumerate(positions)])
     return normalize_columns(cells, shape, positions)
 
 
@@ -236,12 +290,15 @@ def read_events(spark: SparkSession, files: list[SourceFile]) -> DataFrame:
 
     A file without a readable header gives one row per line, with all columns absent.
     """
-    spanning = spanning_files(spark, [f.path for f in files]) if files else set()
-    groups: dict[tuple[HeaderShape, bool], list[SourceFile]] = {}
-    for f in files:
-        if f.size:
-            groups.setdefault((f.shape, f.path in spanning and bool(f.shape.headers)), []).append(f)
-    frames = [_read_shape(spark, shape, group, how) for (shape, how), group in groups.items()]
+    files = [f for f in files if f.size]
+    kinds = file_kinds(spark, files) if files else {}
+    frames = []
+    for (shape, folder), group in _by_header(files).items():
+        for kind in (PLAIN, ORDERED, RECORDS):
+            # without a header each line is a rejected row
+            some = [f for f in group if kind == (kinds.get(f.path, ORDERED) if shape.headers else ORDERED)]
+            if some:
+                frames.append(_read_shape(spark, shape, folder, some, kind))
     if not frames:
         columns = ["source_file", *EVENT_COLUMNS]
         empty = ", ".join(f"`{c}` string" for c in columns)

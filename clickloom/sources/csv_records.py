@@ -25,7 +25,7 @@ def open_after(line: Column, open_before: bool) -> Column:
     A quote opens a cell only as its first character; elsewhere in a bare cell it is text.
     """
     def step(is_open: Column, piece: Column) -> Column:
-        odd = F.length(F.regexp_replace(piece, '[^"]', "")) % 2 == 1
+        odd = (F.octet_length(piece) - F.octet_length(F.replace(piece, F.lit('"'), F.lit("")))) % 2 == 1
         return F.when(is_open | F.startswith(piece, F.lit('"')), is_open != odd).otherwise(is_open)
 
     return F.when(
@@ -47,7 +47,7 @@ def file_path() -> Column:
 
 
 def without_return(text: Column) -> Column:
-    return F.regexp_replace(text, "\r$", "")
+    return F.when(F.endswith(text, F.lit("\r")), F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
 
 
 def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:

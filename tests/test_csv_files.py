@@ -107,13 +107,25 @@ def test_only_files_with_inner_line_breaks_are_read_by_records(spark, folder):
     put(folder, "flat.csv", HEADER + "\n" + 'c1,"u,""x""",r,t,e,"{""a"":1}",ua\n' * 50)
     put(folder, "inner.csv", HEADER + "\n" + 'c2,"u\nv",r,t,e,{},ua\n' * 50)
     files = csv_files.discover(spark, f"{folder}/*.csv")
-    spanning = csv_files.spanning_files(spark, [f.path for f in files])
-    assert {p.rsplit("/", 1)[1] for p in spanning} == {"inner.csv"}
+    kinds = csv_files.file_kinds(spark, files)
+    assert {p.rsplit("/", 1)[1]: kind for p, kind in kinds.items()} == {"flat.csv": "plain", "inner.csv": "records"}
     rows = read(spark, folder)
     assert rows.count() == 100
     assert set(r["page_url"] for r in rows.select("page_url").distinct().collect()) == {'u,"x"', "u\nv"}
 
 
+def test_a_plain_file_is_scanned_once_without_order(spark, folder):
+    put(folder, "flat.csv", HEADER.replace("client_id", ' "client_id"') + "\r\n" + 'c1,"u,""x""",r,t,e,"{""a"":1}",ua\r\n' * 3)
+    plan = read(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1
+    assert "Window" not in plan and "Exchange" not in plan and "Join" not in plan
+    for name, end in (("again.csv", HEADER + "\n"), ("blank.csv", " \n")):
+        put(folder, name, HEADER + "\nc1,u,r,t,e,{},ua\n" + end)
+    kinds = csv_files.file_kinds(spark, csv_files.discover(spark, f"{folder}/*.csv"))
+    assert {p.rsplit("/", 1)[1]: kind for p, kind in kinds.items()} == {"flat.csv": "plain", "again.csv": "ordered", "blank.csv": "ordered"}
+    assert read(spark, folder).count() == 3 + 2 + 2
+
+
 # content of a file, and the client_id cells of its rows in order; OTHER is a file that is always there
 CASES = {
     "blank lines before the header": ("\n  \n\ufeff" + HEADER + "\nc1,u,r,t,e,{},ua\n", ["c1"]),
