@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from clickloom.llm.tables import stored, table
+from clickloom.llm.tables import free_name, stored, table
 
 SEED = 20250310
 MOST = 3
@@ -120,7 +120,14 @@ def _round_cells(cells: pa.Table) -> pa.Table:
 
 def mix(docs: DataFrame, source: str = "source", text: str = "text", key: str = "doc_id", most: int = MOST,
         seed: int = SEED) -> DataFrame:
-    """All rows with ``size``, ``source_size``, ``target`` and ``copies``."""
+    """All rows with ``size``, ``source_size``, ``target`` and ``copies``; a name that the table has gets a ``_`` more."""
+    rows = planned_copies(docs, source, text, key, most, seed)
+    return rows.select("row.*", *[F.col(c).alias(free_name(docs, c)) for c in OWN])
+
+
+def planned_copies(docs: DataFrame, source: str = "source", text: str = "text", key: str = "doc_id", most: int = MOST,
+                   seed: int = SEED) -> DataFrame:
+    """All rows as ``row``, beside ``size``, ``source_size``, ``target`` and ``copies``."""
     own = F.xxhash64(F.lit(seed), F.col(key), F.col(text))
     # the only pass over texts
     slim = stored(docs.select(F.col(source).alias("cell_source"), size_of(F.col(text)).alias("size"), own.alias("h")), "mix-sizes")
@@ -171,7 +178,7 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", key: str =
         return measured.join(rows, F.col("doc_source").eqNullSafe(F.col("plan_source")) & (F.col("size") == F.col("plan_size")))
 
     def result(rows: DataFrame, more: Column) -> DataFrame:
-        return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in OWN], "size", "source_size", "target",
+        return rows.select("row", "size", "source_size", "target",
                            (F.col("each") + F.coalesce(more.cast("long"), F.lit(0))).alias("copies"))
 
     at_cut = F.coalesce(F.col("part").isNotNull() & (F.col("h") == F.col("cut")), F.lit(False))
@@ -198,12 +205,11 @@ def _numbered(equal: DataFrame, result: Callable[[DataFrame, Column], DataFrame]
     return result(equal.join(ends, F.col("plan_source").eqNullSafe(F.col("s")) & (F.col("plan_size") == F.col("z"))), F.col("number") <= F.col("last"))
 
 
-def expand(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """Each row as often as its copies say."""
-    return mixed.where("copies > 0").withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
-        *[F.col(f"`{c}`") for c in columns])
+def expand(planned: DataFrame) -> DataFrame:
+    """Rows of ``planned_copies``, each as often as its copies say, with the columns of their table."""
+    return planned.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "source")
+    return planned_copies(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select(
+        "row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "row.source")

@@ -11,7 +11,7 @@ it cannot be similar: shingles are divided into classes by the number of nodes t
 out; x and y share at most the sum of min(x, y) over the classes, and variants differ in the rare ones. So every link
 between labels that the bands can show is found.
 
-Shingles are hashed to 64 bits to make sets, of which 40 are kept for comparing two of them.
+Shingles are hashed to 64 bits to make sets, which are compared in full.
 
 Without words or with a null text the set is empty: linked with nothing, its own component. Below five words the whole
 sequence is the one shingle. A component's id is its smallest document id; rows without id count in components, but give
@@ -41,7 +41,7 @@ BANDS = REGISTERS // ROWS
 NO_ID = (1 << 63) - 1
 
 SKETCH = "id long, text_hash long, n long, s1 long, s2 long, registers binary"
-_SET_BYTES = 5
+_SET_BYTES = 8
 
 
 def _sums(values: np.ndarray, first: np.ndarray, salt: int) -> np.ndarray:
@@ -63,22 +63,17 @@ def _sketch(batch: pa.RecordBatch) -> Iterator[dict]:
 
 
 def _set_batch(batch: pa.RecordBatch) -> Iterator[dict]:
-    """The sets of texts, as sorted 40-bit hashes."""
+    """The sets of texts, as sorted hashes."""
     for block in blocks(batch["text"]):
         words = block.spans(NOT_SPACE)
         values, first = shingles(words, words.hashes(block), WIDTH)
-        owner = np.repeat(np.arange(block.n), np.diff(first))
-        short = values >> np.uint64(24)
-        order = np.lexsort((short, owner))
-        raw = np.ascontiguousarray(short[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_SET_BYTES])
+        raw = values.astype("<u8")
         yield {"node": batch["node"].slice(block.first, block.n),
                "elements": pa.Array.from_buffers(pa.binary(), block.n, [None, pa.py_buffer((first * _SET_BYTES).astype(np.int32)), pa.py_buffer(raw.tobytes())])}
 
 
 def _elements(raw: bytes) -> np.ndarray:
-    wide = np.zeros((len(raw) // _SET_BYTES, 8), np.uint8)
-    wide[:, :_SET_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, _SET_BYTES)
-    return wide.view("<u8").reshape(-1)
+    return np.frombuffer(raw, "<u8")
 
 
 def _shared(a: np.ndarray, b: np.ndarray) -> int:
@@ -170,9 +165,13 @@ class Near:
     def bands() -> list[Column]:
         return [F.substring("registers", 2 * ROWS * i + 1, 2 * ROWS) for i in range(BANDS)]
 
+    def _keys(self) -> list[Column]:
+        """The bucket of each band."""
+        return [F.xxhash64(part, F.lit(i)) for i, part in enumerate(self.bands())]
+
     def hits(self) -> DataFrame:
         """Nodes in buckets with others: key, band, node, n and the bucket's count."""
-        band = F.posexplode(F.array(*[F.xxhash64(part, F.lit(i)) for i, part in enumerate(self.bands())]))
+        band = F.posexplode(F.array(*self._keys()))
         rows = self.nodes.select("node", "n", band.alias("band", "key"))
         crowded = rows.groupBy("key").count().where("count > 1")
         return stored(rows.join(crowded, "key"), "near-hits")
@@ -217,7 +216,7 @@ class Near:
         by_class = elements.join(held, "element").groupBy("node").agg(*[F.count_if(F.col("class") == k).alias(f"c{k}") for k in range(1, CLASSES + 1)])
         classes = [f"c{k}" for k in range(1, CLASSES + 1)]
         able = mixed.join(by_class, "node").where(100 * sum((F.col(c) for c in classes), F.lit(0)) >= PERCENT * F.col("n"))
-        prints = self.nodes.select("node", F.array(*[F.hash(part) for part in self.bands()]).alias("bands"))
+        prints = self.nodes.select("node", F.array(*self._keys()).alias("bands"))
         able = stored(able.join(prints, "node").select("key", "band", "node", "n", "label", "main", "bands", *classes), "near-able")
         x, y = (rows.select("key", F.col("band").alias(f"{end}_band"), *[F.col(c).alias(f"{end}_{c}") for c in ("node", "n", "label", "bands", *classes)])
                 for end, rows in (("x", able.where("label <> main")), ("y", able)))

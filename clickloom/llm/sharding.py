@@ -11,14 +11,14 @@ a bucket; if they are more than a bucket holds, they are stored, numbered and de
 shard. So no bucket grows with the table.
 
 Null keys hash like a value of their own. A null text has no bytes. Equal rows keep their number. An empty table gives
-an empty result. Columns of the table named like the result's raise an error before any work.
+an empty result. Where the table has columns named like the result's, these get a ``_`` more.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from clickloom.llm.tables import hinted, stored, table
+from clickloom.llm.tables import free_name, hinted, stored, table
 
 SEED = 20250301
 #: what a bucket holds, before compression; a task handles one at a time
@@ -46,8 +46,6 @@ def shard_of(key: Column, shards: int, seed: int = SEED) -> tuple[Column, Column
 def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text", seed: int = SEED,
           bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """All rows with ``shard``, ``grown_shard`` (with one shard more) and ``slot`` (0, 1, ... in the shard, shuffled)."""
-    if clash := {*OWN} & {c.lower() for c in docs.columns}:
-        raise ValueError(f"columns would clash: {sorted(clash)}")
     here, grown = shard_of(F.col(key), shards, seed)
     order = F.xxhash64(F.lit(seed + 2), F.col(key), F.col(text))
     groups = stored(docs.select(here.alias("shard"), order.alias("order"), text_bytes(F.col(text)).alias("bytes")).groupBy("shard", "order").agg(
@@ -67,7 +65,7 @@ def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text",
         many = _numbered(stored(rows.join(hinted(hot.drop("n")), group, "left_semi").withColumn("id", F.monotonically_increasing_id()), "shard-rows"))
         dealt = few.unionByName(many.join(cut, "shard").withColumn("piece", F.pmod(first + F.col("number"), F.col("pieces"))).drop("number"))
         # of n rows dealt in turn, what each bucket gets
-        turns = hot.join(cut, "shard").select("shard", "n", "pieces", first.alias("first"), F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("turn"))
+        turns = hot.join(cut, "shard").select("shard", "n", "pieces", first.alias("first"), F.explode(F.sequence(F.lit(0), F.least("n", "pieces") - 1)).alias("turn"))
         sizes = sizes.unionByName(turns.select(
             "shard", F.pmod(F.col("first") + F.col("turn"), F.col("pieces")).alias("piece"),
             (F.floor(F.col("n") / F.col("pieces")) + (F.col("turn") < F.col("n") % F.col("pieces")).cast("long")).alias("n")))
@@ -84,7 +82,8 @@ def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text",
     return (
         buckets.join(starts, ["shard", "piece"])
         .select("shard", "start", F.posexplode(F.shuffle("items", F.lit(seed))).alias("at", "item"))
-        .select("item.row.*", "shard", "item.grown_shard", (F.col("start") + F.col("at")).alias("slot"))
+        .select("item.row.*", *[value.alias(free_name(docs, name)) for name, value in zip(
+            OWN, (F.col("shard"), F.col("item.grown_shard"), F.col("start") + F.col("at")))])
     )
 
 
@@ -104,7 +103,7 @@ def write_shards(sharded: DataFrame, path: str) -> None:
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sharded = shard(table(spark, sf_dir, "documents"), 40)
+    sharded = shard(table(spark, sf_dir, "documents").select("doc_id", "text"), 40)
     return sharded.select(
         "doc_id", text_bytes(F.col("text")).alias("size"),
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),

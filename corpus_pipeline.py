@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm.mixing import expand, mix
+from clickloom.llm.mixing import expand, planned_copies
 from clickloom.llm.near import deduplicated
 from clickloom.llm.packing import pack
 from clickloom.llm.quality import good_documents
@@ -34,7 +34,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return expand(mix(docs), docs.columns)
+    return expand(planned_copies(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Mixing: targets against water filling, rates against the optimum's form, words taken near their targets."""
 
+import re
+
 import odd
 import pandas as pd
 import pyarrow as pa
@@ -65,16 +67,36 @@ def test_rounding_stays_within_the_smallest_size():
 
 
 def test_odd_documents(spark):
-    docs = odd.documents(spark, "mix_size", "target", "copies", "cut")
+    docs = odd.documents(spark, "mix_size", "Target", "copies", "cut", "Size")
     out = mixing.mix(docs)
-    rows = out.select("doc_id", "size", "copies").collect()
-    assert len(rows) == len(odd.rows())
-    assert all(r.copies == 1 for r in rows if r.size == 0)
-    full = mixing.expand(out, ["doc_id", "text", "mix_size"])
-    assert full.count() == sum(r.copies for r in rows)
+    assert out.columns == [*docs.columns, "size_", "source_size", "target_", "copies_"]
+    rows = out.collect()
+    assert sorted(map(str, (r[:len(docs.columns)] for r in rows))) == sorted(map(str, (tuple(r) for r in docs.collect())))
+    assert all(r["copies_"] == 1 for r in rows if r["size_"] == 0)
+    full = mixing.expand(mixing.planned_copies(docs))
+    assert full.columns == docs.columns
+    assert full.count() == sum(r["copies_"] for r in rows)
+    assert full.where("copies <> 'clash' OR Target <> 'clash' OR Size <> 'clash'").isEmpty()
     assert mixing.mix(odd.empty(spark)).count() == 0
 
 
+def test_query_columns(spark, folder):
+    docs = odd.documents(spark, "Size", "taken", "copies").where("text IS NULL OR length(text) < 5000")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    got = mixing.op10_mixing(spark, folder).collect()
+    words = {r[0]: len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or "")) for r in odd.rows() if r[0] is not None}
+    assert len(got) == docs.count()
+    assert all(r.size == words[r.doc_id] for r in got if r.doc_id is not None)
+    assert all(r.taken == r.size * r.copies and 0 <= r.taken <= 3 * r.size for r in got)
+    own, target, taken = {}, {}, {}
+    for r in got:
+        own[r.source] = own.get(r.source, 0) + r.size
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        target[r.source] = r.target
+    assert all(r.source_size == own[r.source] for r in got)
+    assert all(abs(taken[s] - target[s]) <= max(r.size for r in got) for s in own)
+
+
 @pytest.mark.parametrize("others", [20, 230])
 def test_rows_without_id_or_repeated_meet_their_target(spark, others):
     """A source whose rows share an id, or an id and a text, is thinned or raised as far as any other."""

@@ -10,6 +10,7 @@ from test_mixing import fill
 from test_near import shingle_set
 from test_quality import counts
 from test_suffixes import brute as brute_repeats
+from pyspark.sql import functions as F
 
 
 @pytest.fixture(scope="module")
@@ -96,9 +97,12 @@ def test_packing_holds_every_row(stages):
 
 
 def test_odd_and_empty_documents(spark):
-    for docs in (odd.documents(spark, "row", "copies", "key_"), odd.empty(spark)):
+    extra = ("row", "copies", "key_", "Size", "target")
+    for docs in (odd.documents(spark, *extra), odd.empty(spark).withColumns({n: F.lit("clash") for n in extra})):
         for name, stage in corpus_pipeline.STAGES:
             made = corpus_pipeline.stored(stage(spark, docs, SF), f"test-{name}")
-            assert name == "packing" or made.columns == docs.columns
+            if name != "packing":
+                assert made.columns == docs.columns
+                assert made.where(" OR ".join(f"{n} <> 'clash'" for n in extra)).isEmpty()
             docs = made
         assert docs.count() >= 0

@@ -1,5 +1,7 @@
 """Sharding: every row once, gapless slots, one more shard takes only into itself, native plan."""
 
+import zlib
+
 import odd
 from clickloom.llm import sharding
 from conftest import SF
@@ -34,6 +36,27 @@ def test_odd_documents(spark, tmp_path):
     assert sharding.shard(odd.empty(spark), 3).count() == 0
 
 
+def test_columns_named_like_the_result_keep_their_values(spark):
+    docs = odd.documents(spark, "Slot", "shard", "grown_shard_")
+    out = sharding.shard(docs, 3)
+    assert out.columns == [*docs.columns, "shard_", "grown_shard", "slot_"]
+    rows = out.collect()
+    assert all(r["Slot"] == r["shard"] == r["grown_shard_"] == "clash" for r in rows)
+    assert sorted(map(str, (r[:5] for r in rows))) == sorted(map(str, odd.rows()))
+
+
+def test_query_columns(spark, folder):
+    odd.documents(spark, "slot", "Law", "size").write.parquet(f"{folder}/documents.parquet")
+    got = sharding.op1_sharding(spark, folder).collect()
+    text = {(i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t, *_ in odd.rows()}
+    assert len(got) == len(odd.rows())
+    assert {(r.doc_id, r["size"], r.text_crc32) for r in got} == text
+    assert {r.law for r in got} == {"key"}
+    for i in {r.doc_id for r in got}:
+        assert len({(r.shard, r.grown_shard) for r in got if r.doc_id == i}) == 1
+    assert all(0 <= r.shard < 40 and r.grown_shard in (r.shard, 40) for r in got)
+
+
 def test_no_python_in_the_plan(spark):
     plan = sharding.op1_sharding(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
