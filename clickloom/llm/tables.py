@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -49,6 +50,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tidied(spark: SparkSession) -> None:
+    """Lets shuffle files of finished jobs go: Spark deletes them when the driver collects garbage, which may be late."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def dropped(df: DataFrame) -> None:
     """Deletes a stored table that nothing reads any more."""
     spark = df.sparkSession

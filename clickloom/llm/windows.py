@@ -6,7 +6,7 @@ the input, and all of a text is read.
 * Rows whose text stands under a smaller id lose all their windows at once, so groups of copies are worked on once.
 * Counting takes short Rabin-Karp hashes, packed with the number of the shard that a document lies in: some 6 random
   bytes a window. What is met twice goes back to its shards, where documents keep the windows on their shard's list.
-* The windows left, with two hashes of 64 bits each, are grouped for their smallest id, which decides.
+* The windows left, with hashes of 64 and of 32 bits, are grouped for their smallest id, which decides.
 * Starts of a document's removed windows merge into maximal intervals of words.
 
 One row of a hash is emitted per block of documents, a frequent passage adds no more. No list grows with the corpus: a
@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from clickloom.llm.tables import Batches, by_batch, hinted, names_of, stored, table
+from clickloom.llm.tables import Batches, by_batch, dropped, hinted, names_of, stored, table, tidied
 from clickloom.llm.words import EXACT, NOT_SPACE, Block, Spans, blocks, mix, span_hashes, windows
 
 WIDTH = 13
@@ -38,7 +38,7 @@ SPARE = 8
 
 _SECOND = mix(EXACT ^ np.uint64(0x94D049BB133111EB))
 
-FOUND = "first long, second long, id long, row long, at int"
+FOUND = "first long, second int, id long, row long, at int"
 CUT = {"id": "long", "n_words": "long", "spans": "array<struct<start: int, end: int>>", "kept": "string"}
 
 
@@ -91,7 +91,7 @@ def _listed(batches: Batches, width: int, bits: int) -> Batches:
                 rows = part.slice(block.first, block.n)
                 at, who = starts[hit], owner[hit]
                 second = span_hashes(words.hashes(block, _SECOND), at, at + width)
-                columns = [hashes[hit].view(np.int64), second.view(np.int64), rows["id"].to_numpy()[who], rows["row"].to_numpy()[who],
+                columns = [hashes[hit].view(np.int64), second.astype(np.uint32).view(np.int32), rows["id"].to_numpy()[who], rows["row"].to_numpy()[who],
                            (at - words.first[who]).astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
@@ -166,17 +166,27 @@ class Repeats:
         met = packed.repartition(key).select(key.alias("key"), "packed").withColumn("total", F.count("*").over(Window.partitionBy("key")))
         twice = stored(met.where("total > 1").select(
             F.col("packed").bitwiseAND((1 << self.shard_bits) - 1).alias("shard"), F.lit(False).alias("is_text"), "key"), "windows-lists")
+        tidied(self.rows.sparkSession)
         both = twice.unionByName(texts.select("shard", F.lit(True).alias("is_text"), "text", "id", "row"), allowMissingColumns=True)
         width, bits = self.width, self.bits
-        return both.repartition("shard").sortWithinPartitions("shard", "is_text").mapInArrow(
-            lambda batches: _listed(batches, width, bits), FOUND)
+        found = stored(both.repartition("shard").sortWithinPartitions("shard", "is_text").mapInArrow(
+            lambda batches: _listed(batches, width, bits), FOUND), "windows-found")
+        dropped(twice)
+        return found
 
     def starts(self) -> DataFrame:
         """Per row with any: the first words of its windows that a smaller id has too."""
-        found = stored(self.found(), "windows-found")
-        least = found.groupBy("first", "second").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most")
-        later = found.join(least, ["first", "second"]).where("least < id")
-        return later.groupBy("row").agg(F.collect_list("at").alias("starts"))
+        found = self.found()
+        tidied(self.rows.sparkSession)
+        least = found.groupBy("first", "second").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
+        # written, so that the join shuffles both sides and can split the windows that very many documents have
+        least = stored(least.select("first", "second", "least"), "windows-least")
+        later = found.join(hinted(least), ["first", "second"]).where("least < id")
+        starts = stored(later.groupBy("row").agg(F.collect_list("at").alias("starts")), "windows-starts")
+        dropped(found)
+        dropped(least)
+        tidied(self.rows.sparkSession)
+        return starts
 
     def cut(self) -> DataFrame:
         """Each row's id, n_words, removed spans of words (start, end) and kept words."""
