@@ -155,37 +155,55 @@ class Repeats:
             "id", "text", F.coalesce(F.col("first") < F.col("id"), F.lit(False)).alias("copy"),
             F.monotonically_increasing_id().alias("row")), "windows-rows")
 
-    def found(self) -> DataFrame:
-        """Windows that seem to be in two documents or more: both hashes, id, row and the number of the first word."""
-        texts = self.rows.where(~F.col("copy") & F.col("text").isNotNull()).withColumn(
+    def _texts(self) -> DataFrame:
+        return self.rows.where(~F.col("copy") & F.col("text").isNotNull()).withColumn(
             "shard", F.xxhash64("row").bitwiseAND((1 << self.shard_bits) - 1))
-        packed = texts.select("shard", "text").mapInArrow(
+
+    def lists(self) -> DataFrame:
+        """Short hashes met twice, for each shard that has them."""
+        packed = self._texts().select("shard", "text").mapInArrow(
             by_batch(_counted, ["packed"], self.width, self.bits, self.shard_bits), "packed long")
-        # only the packed number is shuffled; the lists are written, so that its files can go
+        # only the packed number is shuffled
         key = F.shiftrightunsigned("packed", self.shard_bits)
         met = packed.repartition(key).select(key.alias("key"), "packed").withColumn("total", F.count("*").over(Window.partitionBy("key")))
-        twice = stored(met.where("total > 1").select(
+        return stored(met.where("total > 1").select(
             F.col("packed").bitwiseAND((1 << self.shard_bits) - 1).alias("shard"), F.lit(False).alias("is_text"), "key"), "windows-lists")
-        tidied(self.rows.sparkSession)
-        both = twice.unionByName(texts.select("shard", F.lit(True).alias("is_text"), "text", "id", "row"), allowMissingColumns=True)
+
+    def listed(self, lists: DataFrame) -> DataFrame:
+        """Windows on their shard's list: both hashes, id, row and the number of the first word."""
+        both = lists.unionByName(self._texts().select("shard", F.lit(True).alias("is_text"), "text", "id", "row"), allowMissingColumns=True)
         width, bits = self.width, self.bits
-        found = stored(both.repartition("shard").sortWithinPartitions("shard", "is_text").mapInArrow(
+        return stored(both.repartition("shard").sortWithinPartitions("shard", "is_text").mapInArrow(
             lambda batches: _listed(batches, width, bits), FOUND), "windows-found")
-        dropped(twice)
-        return found
+
+    @staticmethod
+    def least(found: DataFrame) -> DataFrame:
+        """Smallest id of each window that several ids have; written, so that a join shuffles both sides and splits hot keys."""
+        ids = found.groupBy("first", "second").agg(F.min("id").alias("least"), F.max("id").alias("most"))
+        return stored(ids.where("least < most").select("first", "second", "least"), "windows-least")
+
+    @staticmethod
+    def later(found: DataFrame, least: DataFrame) -> DataFrame:
+        removed = found.join(hinted(least), ["first", "second"]).where("least < id")
+        return stored(removed.groupBy("row").agg(F.collect_list("at").alias("starts")), "windows-starts")
 
     def starts(self) -> DataFrame:
-        """Per row with any: the first words of its windows that a smaller id has too."""
-        found = self.found()
-        tidied(self.rows.sparkSession)
-        least = found.groupBy("first", "second").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
-        # written, so that the join shuffles both sides and can split the windows that very many documents have
-        least = stored(least.select("first", "second", "least"), "windows-least")
-        later = found.join(hinted(least), ["first", "second"]).where("least < id")
-        starts = stored(later.groupBy("row").agg(F.collect_list("at").alias("starts")), "windows-starts")
+        """Per row with any: the first words of its windows that a smaller id has too.
+
+        A step's shuffle files and tables go before the next one's come.
+        """
+        spark = self.rows.sparkSession
+        lists = self.lists()
+        tidied(spark)
+        found = self.listed(lists)
+        dropped(lists)
+        tidied(spark)
+        least = self.least(found)
+        tidied(spark)
+        starts = self.later(found, least)
         dropped(found)
         dropped(least)
-        tidied(self.rows.sparkSession)
+        tidied(spark)
         return starts
 
     def cut(self) -> DataFrame:
