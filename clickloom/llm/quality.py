@@ -8,17 +8,20 @@ A step is one aggregation: moments by group and distance bin, combined before th
 costs a few hundred small rows. The first estimate is the middle of coordinatewise quartiles, from counts of rounded
 values. Documents that fail the base rules take no part in the estimates.
 
-A pair of language and source below ``LEAST`` documents is judged by the estimate of its whole language, large sources
-included. A language below ``LEAST`` has an estimate of its own, whose floors (as variances) weigh ``LEAST`` / n times as
-much: few documents tell little of the scatter. Languages never mix. Null languages and sources are values of their own. A null or empty text has no words and fails the base rules. Rows are judged one by one, so repeated rows get
-equal verdicts; columns of the table that are named like the method's own stay as they are. An empty table gives none.
+The estimate of a pair of language and source is drawn towards that of its whole language, large sources included:
+with n documents it weighs n / (n + ``PRIOR``), so that no verdict turns on a size. A floor is added to each variance; a
+language below ``PRIOR`` documents has it ``PRIOR`` / n times as large, as few tell little of the scatter. Languages never mix.
+Null languages and sources are values of their own. A null or empty text has no words and
+fails the base rules. Rows are judged one by one, so repeated rows get equal verdicts; columns of the table that are named like the method's own stay as they are. An empty table gives none.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from clickloom.llm.tables import free_name, hinted, stored, table
 from clickloom.llm.textstats import statistics
@@ -27,12 +30,13 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 
 #: base rules: words at least, percent of words in repeated windows at most
 LEAST_WORDS, MOST_REPEATED = 10, 20
-#: documents of a group, part of it that an estimate keeps, steps
-LEAST, KEEP, STEPS = 200, 0.75, 5
+#: documents that a language's estimate counts for in those of its sources, part of a group that an estimate keeps, steps
+PRIOR, KEEP, STEPS = 200, 0.75, 5
 #: chi-square quantile of one in a million at 5 dimensions; the factor that makes scatter from the nearest 75 % consistent
 CUT, CONSISTENT = 35.9, 1.41
-#: standard deviations that are added to each coordinate, in its own unit: nothing closer than these counts as different
-FLOORS = (0.05, 0.25, 0.1, 0.1, 0.3)
+#: standard deviations that are added to each coordinate, in its own unit: nothing closer than these counts as different.
+#: Repeated windows end at 0.2, where the base rule begins, so their floor is as much finer
+FLOORS = (0.05, 0.25, 0.1, 0.03, 0.3)
 P = len(FLOORS)
 
 
@@ -64,37 +68,36 @@ def _key(lang: str, source: str) -> Column:
     return F.to_json(F.struct(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{source}`").cast("string").alias("source")))
 
 
-def _group_names(slim: DataFrame) -> DataFrame:
-    """Which estimate each (language, source) uses, ``grp``, and which it takes part in, ``feeds``."""
-    own = F.col("n") >= LEAST
-    whole = F.concat(F.lit("lang "), F.to_json(F.struct("lang")))  # no pair's key begins so
-    some_small = F.max(~own).over(Window.partitionBy("lang"))
-    return slim.groupBy("pair", "lang").agg(F.count("*").alias("n")).select(
-        "pair", F.when(own, F.col("pair")).otherwise(whole).alias("grp"),
-        F.array_compact(F.array(F.when(own, F.col("pair")), F.when(some_small, whole))).alias("feeds"))
+_LANG = "lang "  # no pair's key begins so
+
 
+def _whole(lang: str) -> Column:
+    return F.concat(F.lit(_LANG), F.to_json(F.struct(lang)))
 
-def _estimate(group: pa.Table, centre: np.ndarray, cov: np.ndarray) -> pa.Table:
+
+def _estimate(group: pa.Table, n: float, centre: np.ndarray, cov: np.ndarray) -> pa.Table:
     kind = pa.list_(pa.float64())
-    return pa.table({"grp": [group["grp"][0].as_py()], "centre": pa.array([centre], kind), "inverse": pa.array([np.linalg.inv(cov).ravel()], kind)})
+    return pa.table({"grp": [group["grp"][0].as_py()], "n": [float(n)], "centre": pa.array([centre], kind),
+                     "cov": pa.array([cov.ravel()], kind), "inverse": pa.array([np.linalg.inv(cov).ravel()], kind)})
 
 
-def _floor(n: int) -> np.ndarray:
-    """Variances added to the estimate of a group of n documents."""
-    return np.square(FLOORS) * max(1, LEAST / n)
+def _floor(group: pa.Table, n: float) -> np.ndarray:
+    """Variances added to the estimate of a group of n documents; a pair's grow with its language's weight instead."""
+    return np.square(FLOORS) * (max(1, PRIOR / n) if group["grp"][0].as_py().startswith(_LANG) else 1)
 
 
 def _first(counts: pa.Table) -> pa.Table:
     """Quartiles of each coordinate from counts of rounded values."""
     which, value, n = (counts[c].to_numpy() for c in ("i", "value", "n"))
-    centre, scale = np.zeros(P), np.sqrt(_floor(n.sum() / P))
+    size = n.sum() / P
+    centre, scale = np.zeros(P), np.sqrt(_floor(counts, size))
     for i in range(P):
         order = np.flatnonzero(which == i)
         order = order[np.argsort(value[order])]
         share = np.cumsum(n[order]) / n[order].sum()
         low, centre[i], high = value[order][np.searchsorted(share, (0.25, 0.5, 0.75))] / 1000
         scale[i] = max(scale[i], (high - low) / 1.349)
-    return _estimate(counts, centre, np.diag(scale**2))
+    return _estimate(counts, size, centre, np.diag(scale**2))
 
 
 def _next(bins: pa.Table) -> pa.Table:
@@ -105,10 +108,27 @@ def _next(bins: pa.Table) -> pa.Table:
     m = {c: bins[c].to_numpy()[near].sum() for c in bins.column_names if c not in ("grp", "bin")}
     centre = np.array([m[f"s{i}"] for i in range(P)]) / m["n"]
     cov = np.array([[m[f"s{min(i, j)}{max(i, j)}"] for j in range(P)] for i in range(P)]) / m["n"] - np.outer(centre, centre)
-    return _estimate(bins, centre, CONSISTENT * cov + np.diag(_floor(seen[-1])))
+    return _estimate(bins, seen[-1], centre, CONSISTENT * cov + np.diag(_floor(bins, seen[-1])))
+
+
+_ESTIMATE = "grp string, n double, centre array<double>, cov array<double>, inverse array<double>"
+
+
+def _drawn(both: pa.Table) -> pa.Table:
+    """Each pair's estimate, drawn towards its language's."""
+    columns = {c: np.array(both[c].to_pylist()) for c in ("n", "centre", "cov", "lang_centre", "lang_cov")}
+    w = (columns["n"] / (columns["n"] + PRIOR))[:, None]
+    centre = w * columns["centre"] + (1 - w) * columns["lang_centre"]
+    cov = (w * columns["cov"] + (1 - w) * columns["lang_cov"]).reshape(-1, P, P)
+    kind = pa.list_(pa.float64())
+    return pa.table({"pair": both["grp"], "centre": pa.array(list(centre), kind),
+                     "inverse": pa.array(list(np.linalg.inv(cov).reshape(-1, P * P)), kind)})
 
 
-_ESTIMATE = "grp string, centre array<double>, inverse array<double>"
+def _draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            yield from _drawn(pa.Table.from_batches([batch])).to_batches()
 
 
 def distance(x: list[Column]) -> Column:
@@ -119,8 +139,8 @@ def distance(x: list[Column]) -> Column:
 
 def fit(slim: DataFrame) -> DataFrame:
     """Estimates by (language, source) key ``pair``, from rows with pair, lang and the coordinates x0, x1, ..."""
-    groups = stored(_group_names(slim), "quality-groups")
-    rows = slim.join(hinted(groups.select("pair", "feeds")), "pair").select(F.explode("feeds").alias("grp"), *[f"x{i}" for i in range(P)])
+    groups = F.explode(F.array(F.col("pair"), _whole("lang"))).alias("grp")
+    rows = slim.select(groups, *[f"x{i}" for i in range(P)])
     x = [F.col(f"x{i}") for i in range(P)]
     rounded = F.posexplode(F.array(*[F.round(v * 1000).cast("long") for v in x])).alias("i", "value")
     estimate = stored(rows.select("grp", rounded).groupBy("grp", "i", "value").agg(F.count("*").alias("n"))
@@ -128,9 +148,13 @@ def fit(slim: DataFrame) -> DataFrame:
     moments = [F.count("*").alias("n"), *[F.sum(x[i]).alias(f"s{i}") for i in range(P)],
                *[F.sum(x[i] * x[j]).alias(f"s{i}{j}") for i in range(P) for j in range(i, P)]]
     for _ in range(STEPS):
-        near = rows.join(hinted(estimate), "grp").withColumn("bin", F.floor(16 * F.log(distance(x) + 1e-6)))
+        near = rows.join(hinted(estimate.drop("n", "cov")), "grp").withColumn("bin", F.floor(16 * F.log(distance(x) + 1e-6)))
         estimate = stored(near.groupBy("grp", "bin").agg(*moments).groupBy("grp").applyInArrow(_next, _ESTIMATE), "quality-estimate")
-    return stored(groups.join(estimate, "grp").select("pair", "centre", "inverse"), "quality-fit")
+    whole = estimate.select(F.col("grp").alias("whole"), F.col("centre").alias("lang_centre"), F.col("cov").alias("lang_cov"))
+    pairs = stored(slim.select("pair", _whole("lang").alias("whole")).distinct(), "quality-pairs")
+    both = estimate.join(hinted(pairs.withColumnRenamed("pair", "grp")), "grp").join(hinted(whole), "whole")
+    return stored(both.select("grp", "n", "centre", "cov", "lang_centre", "lang_cov").mapInArrow(
+        _draw, "pair string, centre array<double>, inverse array<double>"), "quality-fit")
 
 
 def judge(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", keep: list[str] | None = None) -> DataFrame:

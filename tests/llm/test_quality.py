@@ -88,3 +88,29 @@ def test_small_groups_are_judged_by_their_own_language(spark):
     # texts like those of another language do not pass
     assert all(far(p, np.array(middle[o])) > quality.CUT for p, lang in sizes for o in ("en", "rare", "zz") if lang and o != lang)
     assert np.allclose(fits["e1"][0], fits["e2"][0], atol=0.05)
+
+
+KINDS = "pair string, lang string, x0 double, x1 double, x2 double, x3 double, x4 double"
+
+
+def test_no_verdict_turns_on_a_size(spark):
+    rng = np.random.default_rng(9)
+    own, others = rng.normal([1.6, 0, 0.02, 0.01, -4], [0.1, 0.3, 0.05, 0.02, 0.2], (201, 5)), rng.normal([1.8, 0, 0.02, 0.01, -3.5], 0.2, (700, 5))
+    probes = rng.normal([1.7, 0.4, 0.1, 0.05, -3.8], [0.3, 0.8, 0.2, 0.05, 0.6], (400, 5))
+    far = {}
+    for n in (199, 200, 201):
+        rows = [("p", "en", *map(float, r)) for r in own[:n]] + [("q", "en", *map(float, r)) for r in others]
+        fit = {r.pair: r for r in quality.fit(spark.createDataFrame(rows, KINDS)).collect()}["p"]
+        off = probes - np.array(fit.centre)
+        far[n] = np.einsum("ij,jk,ik->i", off, np.array(fit.inverse).reshape(5, 5), off)
+    # a bin of distances more or less, but no other estimate
+    assert np.allclose(far[199], far[200], rtol=0.05) and np.allclose(far[200], far[201], rtol=0.05)
+
+
+def test_repetition_alone_can_reject(spark):
+    rng = np.random.default_rng(10)
+    x = rng.normal([1.6, 0, 0.02, 0, -4], [0.1, 0.3, 0.05, 0, 0.2], (2000, 5))
+    fit = quality.fit(spark.createDataFrame([("p", "en", *map(float, r)) for r in x], KINDS)).first()
+    d = lambda p: (p - np.array(fit.centre)) @ np.array(fit.inverse).reshape(5, 5) @ (p - np.array(fit.centre))
+    middle = x.mean(0)
+    assert d(middle + [0, 0, 0, 0.1, 0]) < quality.CUT < d(middle + [0, 0, 0, 0.2, 0])
