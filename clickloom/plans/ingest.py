@@ -1,13 +1,15 @@
 """File ingest: raw CSV to raw_events, quarantine and pipeline_logs.
 
 The files are parsed once. Accepted rows, rejected rows and reasons land in one table partitioned
-by source file, so replacing a file's partition replaces both outcomes at once; raw_events,
-quarantine and the log are read from that table.
+by run and source file. The run's log is one file, written after all its rows: that is the commit.
+raw_events and quarantine follow the log, so they show a run as a whole or not at all, and a run
+that breaks off leaves what was there before.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
@@ -28,6 +30,10 @@ _LANDED_SCHEMA = ", ".join(
     + [f"`raw_{c}` string" for c in EVENT_COLUMNS]
     + ["error_reason string", "is_valid boolean", "run_id string", "source_file string"]
 )
+_LOG_SCHEMA = (
+    "run_id string, filename string, run_timestamp timestamp_ntz, rows_read bigint, rows_inserted bigint, "
+    "rows_quarantined bigint, status string, load_mode string, load_no bigint"
+)
 
 
 def land(annotated: DataFrame, run_id: str) -> DataFrame:
@@ -43,9 +49,32 @@ def land(annotated: DataFrame, run_id: str) -> DataFrame:
     )
 
 
-def landed(tables: TableFolder) -> DataFrame:
+def _partitions(tables: TableFolder, run_id: str | None = None) -> DataFrame:
+    """All landed rows, or those of one run, committed or not."""
     # the schema is given, as file names in partition values must stay text
-    return tables.spark.read.schema(_LANDED_SCHEMA).parquet(tables.path(LANDED))
+    path = tables.path(LANDED)
+    reader = tables.spark.read.schema(_LANDED_SCHEMA).option("basePath", path)
+    if run_id is None:
+        return reader.parquet(path)
+    own = f"{path}/run_id={run_id}"  # only this folder is listed, however long the history
+    return reader.parquet(own if storage.exists(tables.spark, own) else path).where(F.col("run_id") == run_id)
+
+
+def log(tables: TableFolder) -> DataFrame:
+    """One row per committed run and file; none before the first commit."""
+    return tables[LOGS] if LOGS in tables else tables.spark.createDataFrame([], _LOG_SCHEMA)
+
+
+def current(runs: DataFrame) -> DataFrame:
+    """The (run_id, source_file) whose rows count: a file's runs from the last on that replaced it."""
+    at = F.struct("load_no", "run_id")
+    last = runs.groupBy("filename").agg(F.max(F.when(F.col("load_mode") == "replace", at)).alias("since"))
+    return runs.join(last, "filename").where(F.col("since").isNull() | (at >= F.col("since"))).select(
+        "run_id", F.col("filename").alias("source_file"))
+
+
+def landed(tables: TableFolder) -> DataFrame:
+    return _partitions(tables).join(current(log(tables)), ["run_id", "source_file"], "left_semi")
 
 
 def raw_events(tables: TableFolder) -> DataFrame:
@@ -79,7 +108,9 @@ def ingest(spark: SparkSession, pattern: str, base: str, *, mode: str = "replace
     """Validate the files of a glob into the tables under ``base``; returns this run's log.
 
     ``mode="replace"`` makes a second run over the same files a no-op for the data: the files'
-    partitions are replaced. ``mode="append"`` adds the rows again.
+    earlier rows stop to count with this run's commit and are deleted after it. ``mode="append"``
+    adds the rows again. The quarantine CSV is written last, from committed rows; if that breaks
+    off, another run of the files makes it anew.
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"mode must be 'replace' or 'append', not {mode!r}")
@@ -89,33 +120,47 @@ def ingest(spark: SparkSession, pattern: str, base: str, *, mode: str = "replace
 
     files = csv_files.discover(spark, pattern)
     annotated = validate.annotate(csv_files.read_events(spark, files))
-    writer = land(annotated, run_id).write.partitionBy("source_file")
-    if mode == "append":
-        writer.mode("append").parquet(tables.path(LANDED))
-    else:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(tables.path(LANDED))
-
-    # only the partitions of this run's files are opened, however long the history
-    names = F.col("source_file").isin([f.name for f in files])
-    mine = names & (F.col("run_id") == run_id)
-    log = validate.file_log(landed(tables).where(mine), run_timestamp, run_id, csv_files.file_list(spark, files))
-    tables.append(LOGS, log)
-    written = tables[LOGS].where(F.col("run_id") == run_id)
+    land(annotated, run_id).write.mode("append").partitionBy("run_id", "source_file").parquet(tables.path(LANDED))
+
+    mine = _partitions(tables, run_id)
+    before = log(tables)
+    load_no = before.agg(F.coalesce(F.max("load_no"), F.lit(0)) + 1).first()[0]
+    rows = validate.file_log(mine, run_timestamp, run_id, csv_files.file_list(spark, files)).withColumns(
+        {"load_mode": F.lit(mode), "load_no": F.lit(load_no).cast("bigint")})
+    # one file, no longer than the list of files, so that it appears at once: the commit
+    tables.append(LOGS, rows.repartition(1))
+    written = log(tables).where(F.col("run_id") == run_id)
 
     if mode == "replace":
-        # a file that now has no rows at all left no partition to overwrite its old one with
-        _drop_partitions(spark, tables.path(LANDED), written.where("rows_read = 0"))
+        older = current(log(tables).where(F.col("load_no") < load_no))
+        _delete(spark, tables, older.join(written.select(F.col("filename").alias("source_file")), "source_file", "left_semi"))
     # the CSV files hold this run's rejected rows only
-    _drop_partitions(spark, tables.path(QUARANTINE_CSV), written.where("rows_quarantined = 0"))
-    write_quarantine_csv(_rejected(landed(tables).where(mine)), tables.path(QUARANTINE_CSV))
+    csv_path = tables.path(QUARANTINE_CSV)
+    _drop(spark, (f"{csv_path}/source_file={_escaped(spark, row['filename'])}"
+                  for row in written.where("rows_quarantined = 0").select("filename").toLocalIterator()))
+    write_quarantine_csv(_rejected(mine), csv_path)
     return written
 
 
-def _drop_partitions(spark: SparkSession, path: str, log: DataFrame, threads: int = 16) -> None:
-    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+def vacuum(spark: SparkSession, base: str) -> None:
+    """Deletes landed rows that no longer count or never did, as of runs that broke off; while no ingest runs."""
+    tables = TableFolder(spark, base)
+    there = _partitions(tables).select("run_id", "source_file").distinct()
+    _delete(spark, tables, there.join(current(log(tables)), ["run_id", "source_file"], "left_anti"))
+
+
+def _escaped(spark: SparkSession, value: str) -> str:
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
+def _delete(spark: SparkSession, tables: TableFolder, gone: DataFrame) -> None:
+    _drop(spark, (f"{tables.path(LANDED)}/run_id={row['run_id']}/source_file={_escaped(spark, row['source_file'])}"
+                  for row in gone.select("run_id", "source_file").toLocalIterator()))
+
+
+def _drop(spark: SparkSession, paths: Iterable[str], threads: int = 16) -> None:
     with ThreadPoolExecutor(threads) as pool:
-        for _ in pool.map(lambda row: storage.delete(spark, f"{path}/source_file={escape(row['filename'])}"),
-                          log.select("filename").toLocalIterator()):
+        for _ in pool.map(lambda path: storage.delete(spark, path), paths):
             pass
 
 

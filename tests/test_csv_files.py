@@ -252,6 +252,46 @@ def test_quarantine_csv_holds_this_run_only(spark, folder):
     assert ingest.quarantine(TableFolder(spark, base)).count() == 2
 
 
+def test_a_run_that_breaks_off_changes_nothing(spark, folder, monkeypatch):
+    base = folder + "/tables"
+    tables = TableFolder(spark, base)
+    kept, lose = TableFolder.append, lambda *_: (_ for _ in ()).throw(RuntimeError("lost"))
+    day_file(folder, "a.csv", "2024-01-01")
+
+    monkeypatch.setattr(TableFolder, "append", lose)  # rows are written, their log is not
+    with pytest.raises(RuntimeError, match="lost"):
+        ingest.ingest(spark, f"{folder}/*.csv", base)
+    assert ingest.raw_events(tables).count() == 0 and ingest.log(tables).count() == 0
+
+    monkeypatch.setattr(TableFolder, "append", kept)
+    ingest.ingest(spark, f"{folder}/*.csv", base)
+    before = sorted(ingest.landed(tables).collect(), key=str)
+    assert len(before) == 7
+
+    day_file(folder, "a.csv", "2024-01-05", rejects=3)
+    for mode in ("replace", "append"):
+        monkeypatch.setattr(TableFolder, "append", lose)
+        with pytest.raises(RuntimeError, match="lost"):
+            ingest.ingest(spark, f"{folder}/*.csv", base, mode=mode)
+        assert sorted(ingest.landed(tables).collect(), key=str) == before and ingest.log(tables).count() == 1
+
+    # the rows of what broke off lie there until they are cleared away
+    parts = lambda: sorted(p for p in os.listdir(base + "/landed_events") if p.startswith("run_id=") and os.listdir(f"{base}/landed_events/{p}"))
+    assert len(parts()) == 4
+    ingest.vacuum(spark, base)
+    assert len(parts()) == 1 and sorted(ingest.landed(tables).collect(), key=str) == before
+
+    monkeypatch.setattr(TableFolder, "append", kept)
+    ingest.ingest(spark, f"{folder}/*.csv", base)
+    assert ingest.raw_events(tables).count() == 6 and ingest.quarantine(tables).count() == 3 and len(parts()) == 1
+
+
+def test_what_counts_after_replacing_and_adding(spark):
+    runs = spark.createDataFrame([("r1", "a", "replace", 1), ("r2", "a", "append", 2), ("r3", "a", "replace", 3), ("r4", "a", "append", 4),
+                                  ("r2", "b", "append", 2), ("r4", "b", "append", 4)], "run_id string, filename string, load_mode string, load_no long")
+    assert sorted(map(tuple, ingest.current(runs).collect())) == [("r2", "b"), ("r3", "a"), ("r4", "a"), ("r4", "b")]
+
+
 def test_run_opens_only_its_files_partitions(spark, folder):
     base = folder + "/tables"
     for name in ("a.csv", "b.csv"):
