@@ -10,14 +10,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DoubleType
 
 from clickloom.functions import clock, keys, text, web
 from clickloom.operators import (
     attribution, identity, leads, matching, orders, sessions as session_ops, stage, validate,
 )
 from clickloom.plans import checks, ingest, monitors, reports
+from clickloom.session import scratch_path
 from clickloom.sources import csv_files
 from clickloom.sources.layers import Layers
 from clickloom.sources.tables import TableFolder
@@ -197,6 +200,14 @@ def parse_timestamps(layers: Layers) -> DataFrame:
     return layers.valid().select("event_id", clock.parse_timestamp(spelled).alias("parsed"))
 
 
+@_query
+def typed_epochs(layers: Layers) -> DataFrame:
+    """Numbers of seconds or of milliseconds as the timestamp column."""
+    millis = F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("timestamp"))
+    number = F.when(F.col("event_id") % 2 == 0, F.floor(millis / 1000)).otherwise(millis).cast("double")
+    return layers.valid().select("event_id", clock.as_timestamp_ntz(number, DoubleType()).alias("parsed"))
+
+
 @_query
 def order_quantity_text(layers: Layers) -> DataFrame:
     text = F.concat((F.col("event_id") % 10).cast("string"), F.lit("."), (F.col("event_id") % 4 * 25).cast("string"))
@@ -375,6 +386,29 @@ def rpt_lead_velocity(layers: Layers) -> DataFrame:
     return leads.lead_velocity(layers.stg(), layers.user_map())
 
 
+# --- tables and views -------------------------------------------------------------------------
+
+
+@_query
+def table_replaced(layers: Layers) -> DataFrame:
+    """A table written over one of other columns and rows."""
+    def fill(base: str) -> None:
+        tables = TableFolder(layers.spark, base)
+        tables.put("named_events", layers.stg().select(F.col("client_id").alias("old"), "event_id"))
+        tables.put("named_events", layers.stg().where("event_name <> 'page_viewed'").select("event_id", "event_name"))
+
+    return layers.tables("replaced", fill)["named_events"]
+
+
+@_query
+def view_replaced(layers: Layers) -> DataFrame:
+    """A view defined over an earlier one of its name."""
+    tables = layers.tables("views", lambda base: None)
+    for sessions in (layers.sessions(WIDE_GAP), layers.sessions(GAP)):
+        tables.view("rpt_replaced_view", session_ops.funnel(sessions))
+    return layers.spark.table("rpt_replaced_view")
+
+
 # --- report -----------------------------------------------------------------------------------
 
 
@@ -434,6 +468,19 @@ def new_vs_returning(layers: Layers) -> DataFrame:
     )
 
 
+@_query
+def report_outcome(layers: Layers) -> DataFrame:
+    """The report without the table that one section reads: rows of each section, NULL where it failed."""
+    tables = {"dim_sessions": layers.sessions(WIDE_GAP), "fct_attribution": layers.attribution(GAP)}
+    sections = reports.report_sections(tables)
+    path = scratch_path(layers.spark, "report")
+    outcome = reports.write_report(layers.spark, sections, path)
+    written = [r["section"] for r in outcome.where("error IS NULL").collect()]
+    counts = [layers.spark.read.parquet(f"{path}/{name}").agg(F.lit(name).alias("section"), F.count("*").alias("n_rows")) for name in written]
+    return outcome.join(reduce(DataFrame.unionByName, counts), "section", "left").select(
+        "section", "position", F.col("error").isNotNull().alias("failed"), "n_rows")
+
+
 # --- checks -----------------------------------------------------------------------------------
 # Sessions cut at 240 minutes break the 30-minute rules and sessions cut at 30 break the
 # 240-minute rules, so the checks that must find nothing also have something to find.
@@ -550,6 +597,22 @@ def check_summary(layers: Layers) -> DataFrame:
     return checks.check_summary(checks.check_results(tables, GAP))
 
 
+@_query
+def check_samples(layers: Layers) -> DataFrame:
+    """Checks that find faults, one that finds none and one that errors, with the rows sampled of each."""
+    results = {
+        "within_gap": (checks.zero_rows_status, lambda: checks.within_gap(layers.session_minutes(WIDE_GAP), GAP)),
+        "between_gap": (checks.zero_rows_status, lambda: checks.between_gap(layers.sessions(GAP), WIDE_GAP)),
+        "sound": (checks.zero_rows_status, lambda: checks.between_gap(layers.sessions(GAP), GAP)),
+        "broken": (checks.zero_rows_status, lambda: layers.stg().select("no_such_column")),
+    }
+    summary, samples = checks.run_checks(layers.spark, results)
+    sampled = F
+    for name, rows in samples.items():
+        sampled = sampled.when(F.col("check_name") == name, rows.count())
+    return summary.select("check_name", "status", (sampled.otherwise(0) if samples else F.lit(0)).alias("sampled"))
+
+
 # --- monitors -----------------------------------------------------------------------------------
 
 
@@ -622,3 +685,16 @@ def mon_summary(layers: Layers) -> DataFrame:
         "fct_attribution": layers.attribution(GAP),
     }
     return monitors.monitor_summary(monitors.monitor_results(layers.spark, tables, AS_OF))
+
+
+@_query
+def mon_fallbacks(layers: Layers) -> DataFrame:
+    """Raw events instead of staged ones, orders under another name, other column names, no log and no quarantine."""
+    sessions = layers.sessions(WIDE_GAP).withColumnsRenamed(
+        {"started_at": "session_start_at", "actions_per_session": "event_count"})
+    tables = {
+        "raw_events": layers.valid(),
+        "dim_sessions": sessions,
+        "fct_orders": layers.attribution(GAP).select(F.col("lc_session_id").alias("session_id")),
+    }
+    return monitors.monitor_summary(monitors.monitor_results(layers.spark, tables, AS_OF))
