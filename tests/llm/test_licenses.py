@@ -69,6 +69,17 @@ def test_templates_are_found_with_gaps_and_parts():
             assert out["span_ends"][0].as_py()[-1] == 2 + len(kept)
 
 
+def test_each_template_is_found_as_itself():
+    a = licenses.build()
+    labels = list(licenses.TEMPLATES)
+    texts = [f"some words before {licenses.TEMPLATES[x]} and some after" for x in labels]
+    out = next(licenses._scan_batch(pa.RecordBatch.from_arrays([pa.array(range(len(labels))), pa.array(texts)], ["doc_id", "text"]), a))
+    for label, found, covered in zip(labels, out["span_labels"].to_pylist(), out["span_coverage"].to_pylist()):
+        assert dict(zip(found, covered))[label] == 1
+        # no other family, whatever wordings it shares
+        assert {x.split("-")[0] for x in found} == {label.split("-")[0]}
+
+
 def test_odd_documents(spark):
     rows = licenses.scan_licenses(odd.documents(spark, "n_words", "span_labels")).collect()
     assert len(rows) == len(odd.rows())
