@@ -28,7 +28,7 @@ from clickloom.llm.words import ALNUM_LOWER, blocks
 # Phrases and the labels they give.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# Notices, operative passages and whole bodies of common licences, and the labels they give.
+# Notices, operative passages and bodies of common licences, and the labels they give.
 TEMPLATES = {
     "mit-text": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
         associated documentation files (the "Software"), to deal in the Software without restriction, including without
