@@ -27,6 +27,7 @@ from clickloom.schema import CHECKOUT_DONE, FCT_ATTRIBUTION, LOOKBACK_DAYS
 _OPENS, _SESSION, _CLOSES = 0, 1, 2
 
 _CREDIT = ("session_id", "channel", "source", "medium")
+_BUY = ("purchase_pk", "client_id", "purchase_time", "transaction_id", "revenue", "purchaser_master_id")
 
 
 def purchases(stg: DataFrame, user_map: DataFrame) -> DataFrame:
@@ -46,48 +47,34 @@ def purchases(stg: DataFrame, user_map: DataFrame) -> DataFrame:
     )
 
 
-def _credits(sessions: DataFrame) -> DataFrame:
-    """Sessions reduced to one row per (user, start): least and greatest session id."""
-    credit = F.struct(*_CREDIT)
-    return sessions.groupBy(F.col("master_user_id").alias("user"), F.col("started_at").alias("at")).agg(
-        F.min(credit).alias("low"), F.max(credit).alias("high"), F.count("*").alias("starts")
-    )
-
+def _timeline(buys: DataFrame, sessions: DataFrame, lookback_days: int) -> DataFrame:
+    """Session starts with their credit, and both ends of each purchase's lookback window with the purchase.
 
-def _probes(buys: DataFrame, lookback_days: int) -> DataFrame:
-    """Both ends of the lookback window of each distinct (user, purchase_time)."""
-    times = buys.select(F.col("purchaser_master_id").alias("user"), "purchase_time").distinct()
+    Dealt out once: the windows within hours and the summaries of hours read the same shuffle, for which both need the same filter.
+    """
+    time = F.col("purchase_time")
     ends = F.array(
-        F.struct(F.lit(_CLOSES).alias("kind"), F.col("purchase_time").alias("at")),
-        F.struct(
-            F.lit(_OPENS).alias("kind"),
-            (F.col("purchase_time") - F.expr(f"INTERVAL {int(lookback_days)} DAYS")).alias("at"),
-        ),
-    )
-    return times.select("user", "purchase_time", F.inline(ends))
-
-
-def _timeline(probes: DataFrame, credits: DataFrame) -> DataFrame:
-    none = F.lit(None).cast(credits.schema["low"].dataType)
-    lookups = probes.select(
-        "user", "at", "kind", "purchase_time",
-        none.alias("low"), none.alias("high"), F.lit(0).cast("bigint").alias("starts"),
+        F.struct(F.lit(_CLOSES).alias("kind"), time.alias("at")),
+        F.struct(F.lit(_OPENS).alias("kind"), (time - F.expr(f"INTERVAL {int(lookback_days)} DAYS")).alias("at")),
     )
-    marks = credits.select(
-        "user", "at", F.lit(_SESSION).alias("kind"),
-        F.lit(None).cast("timestamp_ntz").alias("purchase_time"), "low", "high", "starts",
-    )
-    # dealt out once: the windows within hours and the summaries of hours read the same shuffle
-    return lookups.unionByName(marks).withColumn("hour_no", epoch_hour(F.col("at"))).repartition("user", "hour_no")
+    lookups = buys.select(
+        F.col("purchaser_master_id").alias("user"), F.struct(*_BUY).alias("buy"), F.inline(ends))
+    marks = sessions.select(
+        F.col("master_user_id").alias("user"), F.lit(_SESSION).alias("kind"), F.col("started_at").alias("at"),
+        F.struct(*_CREDIT).alias("credit"))
+    rows = lookups.unionByName(marks, allowMissingColumns=True)
+    placed = rows.withColumn("hour_no", epoch_hour(F.col("at")))
+    return placed.where("user IS NOT NULL AND hour_no IS NOT NULL").repartition("user", "hour_no")
 
 
 def _carry_over(timeline: DataFrame) -> DataFrame:
     """Per (user, hour): last session of earlier hours, first of later hours, sessions before."""
-    is_session = F.col("kind") == _SESSION
+    # told by the purchase, so that this reads the columns, and thereby the shuffle, of the windows within hours
+    is_session = F.col("buy").isNull()
     hours = timeline.groupBy("user", "hour_no").agg(
-        F.max(F.when(is_session, F.struct("at", F.col("high").alias("credit")))).alias("last"),
-        F.min(F.when(is_session, F.struct("at", F.col("low").alias("credit")))).alias("first"),
-        F.sum("starts").alias("starts"),
+        F.max(F.when(is_session, F.struct("at", "credit"))).alias("last"),
+        F.min(F.when(is_session, F.struct("at", "credit"))).alias("first"),
+        F.count_if(F.col("kind") == _SESSION).alias("starts"),
     )
     forward = Window.partitionBy("user").orderBy("hour_no").rowsBetween(Window.unboundedPreceding, -1)
     backward = (
@@ -104,45 +91,46 @@ def _carry_over(timeline: DataFrame) -> DataFrame:
 
 def credited_sessions(buys: DataFrame, sessions: DataFrame,
                       lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
-    """Per (user, purchase_time) with a candidate: last_click, first_click, n_candidates."""
-    probes = _probes(buys, lookback_days)
-    timeline = _timeline(probes, _credits(sessions))
+    """Distinct purchases with a candidate, and their last_click, first_click, n_candidates.
+
+    Purchases travel on the timeline, so nothing is joined back. The result is dealt by user and time.
+    """
+    timeline = _timeline(buys, sessions, lookback_days)
     rows = (Window.unboundedPreceding, Window.currentRow)
-    up = Window.partitionBy("user", "hour_no").orderBy("at", "kind").rowsBetween(*rows)
+    # of sessions starting together the least is the first and the greatest the last
+    up = Window.partitionBy("user", "hour_no").orderBy("at", "kind", "credit").rowsBetween(*rows)
     down = (
-        Window.partitionBy("user", "hour_no").orderBy(F.desc("at"), F.desc("kind")).rowsBetween(*rows)
+        Window.partitionBy("user", "hour_no").orderBy(F.desc("at"), F.desc("kind"), F.desc("credit")).rowsBetween(*rows)
     )
     within = timeline.select(
-        "user", "hour_no", "kind", "purchase_time",
-        F.last("high", ignorenulls=True).over(up).alias("before"),
-        F.last("low", ignorenulls=True).over(down).alias("after"),
-        F.sum("starts").over(up).alias("starts"),
+        "user", "hour_no", "kind", "buy",
+        F.last("credit", ignorenulls=True).over(up).alias("before"),
+        F.last("credit", ignorenulls=True).over(down).alias("after"),
+        F.count_if(F.col("kind") == _SESSION).over(up).alias("starts"),
     ).where(F.col("kind") != _SESSION)
-    placed = within.join(_carry_over(timeline), ["user", "hour_no"])
     closes = F.col("kind") == _CLOSES
-    count = F.col("starts") + F.col("carried_starts")
+    placed = within.join(_carry_over(timeline), ["user", "hour_no"]).select(
+        "buy.*",
+        F.when(closes, F.coalesce("before", "carried_last")).alias("last"),
+        F.when(~closes, F.coalesce("after", "carried_first")).alias("first"),
+        (F.col("starts") + F.col("carried_starts")).alias("starts"), "kind")
+    # a purchase that is given twice has the same counts twice, so these are no sums
     return (
-        placed.groupBy("user", "purchase_time")
+        placed.repartition("purchaser_master_id", "purchase_time")
+        .groupBy(*_BUY)
         .agg(
-            F.max(F.when(closes, F.coalesce("before", "carried_last"))).alias("last_click"),
-            F.max(F.when(~closes, F.coalesce("after", "carried_first"))).alias("first_click"),
-            F.sum(F.when(closes, count).otherwise(-count)).alias("n_candidates"),
+            F.max("last").alias("last_click"),
+            F.max("first").alias("first_click"),
+            (F.max(F.when(closes, F.col("starts"))) - F.max(F.when(~closes, F.col("starts")))).alias("n_candidates"),
         )
         .where("n_candidates > 0")
     )
 
 
-def _with_credit(buys: DataFrame, sessions: DataFrame, lookback_days: int) -> DataFrame:
-    credited = credited_sessions(buys, sessions, lookback_days).withColumnRenamed(
-        "user", "purchaser_master_id"
-    )
-    return buys.join(credited, ["purchaser_master_id", "purchase_time"])
-
-
 def attribution_candidates(buys: DataFrame, sessions: DataFrame,
                            lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
     """Number of sessions in each purchase's lookback window, for purchases that have any."""
-    return _with_credit(buys, sessions, lookback_days).select(
+    return credited_sessions(buys, sessions, lookback_days).select(
         "purchase_pk", "transaction_id", "purchaser_master_id", "revenue", "purchase_time",
         "n_candidates",
     )
@@ -151,7 +139,7 @@ def attribution_candidates(buys: DataFrame, sessions: DataFrame,
 def attribution_ranks(buys: DataFrame, sessions: DataFrame,
                       lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
     """Per purchase key: the sessions ranked first by recency and by age."""
-    return _with_credit(buys, sessions, lookback_days).select(
+    return credited_sessions(buys, sessions, lookback_days).select(
         "purchase_pk",
         F.col("last_click.session_id").alias("last_click_session_id"),
         F.col("first_click.session_id").alias("first_click_session_id"),
@@ -168,7 +156,7 @@ def attribute(buys: DataFrame, sessions: DataFrame,
     pk = Window.partitionBy("purchaser_master_id", "purchase_time", "client_id").orderBy(
         F.asc_nulls_last("transaction_id"), F.asc_nulls_last("revenue")
     )
-    ranked = _with_credit(buys, sessions, lookback_days).withColumn("pk_rank", F.row_number().over(pk))
+    ranked = credited_sessions(buys, sessions, lookback_days).withColumn("pk_rank", F.row_number().over(pk))
 
     def credited(struct: str, field: str) -> Column:
         return F.when(F.col("pk_rank") == 1, F.col(f"{struct}.{field}"))

@@ -7,12 +7,35 @@ from pyspark.sql import DataFrame, functions as F
 from clickloom.functions.clock import epoch_hour, epoch_minute
 
 
-def _contained(events: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Join on (client, hour) and keep times within [started_at, ended_at].
+# Rows of one (device, hour) that a task joins; busier hours are dealt to several.
+HOT_ROWS = 1 << 20
+
+
+def _dealt(events: DataFrame, spans: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the join with ``piece``: the events of a busy (device, hour) are dealt in turn, its spans to each.
+
+    The list of busy hours is broadcast: it has at most one row per ``hot_rows`` events.
+    """
+    keys = ["client_id", "hour_no"]
+    busy = F.broadcast(
+        events.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > hot_rows)
+        .select(*keys, F.ceil(F.col("n") / F.lit(hot_rows)).alias("pieces"))
+    )
+    piece = F.pmod(F.monotonically_increasing_id(), F.col("pieces"))
+    pieces = F.sequence(F.lit(0).cast("long"), F.coalesce("pieces", F.lit(1)) - 1)
+    return (
+        events.join(busy, keys, "left").withColumn("piece", F.coalesce(piece, F.lit(0))).drop("pieces"),
+        spans.join(busy, keys, "left").withColumn("piece", F.explode(pieces)).drop("pieces"),
+    )
+
+
+def _contained(events: DataFrame, sessions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Join on (client, hour, piece) and keep times within [started_at, ended_at].
 
     A session is listed under each hour it touches and an event under its own hour. Sessions of
     one device are at least a gap apart, so an hour meets only a few of them, and a heavy device
-    is spread over its hours instead of pairing all its events with all its sessions.
+    is spread over its hours instead of pairing all its events with all its sessions. An hour that
+    is too busy for one task is dealt in pieces.
     """
     hours = F.sequence(epoch_hour(F.col("started_at")), epoch_hour(F.col("ended_at")))
     spans = (
@@ -20,28 +43,28 @@ def _contained(events: DataFrame, sessions: DataFrame) -> DataFrame:
         .select("client_id", "session_id", "started_at", "ended_at", F.explode(hours).alias("hour_no"))
     )
     inside = F.col("timestamp").between(F.col("started_at"), F.col("ended_at"))
+    placed, listed = _dealt(events.withColumn("hour_no", epoch_hour(F.col("timestamp"))), spans, hot_rows)
     return (
-        events.withColumn("hour_no", epoch_hour(F.col("timestamp")))
-        .join(spans, ["client_id", "hour_no"])
+        placed.join(listed, ["client_id", "hour_no", "piece"])
         .where(inside)
-        .drop("hour_no", "started_at", "ended_at")
+        .drop("hour_no", "piece", "started_at", "ended_at")
     )
 
 
-def event_session_match(stg: DataFrame, sessions: DataFrame) -> DataFrame:
+def event_session_match(stg: DataFrame, sessions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Events with the session whose span holds them."""
     events = stg.select("client_id", "timestamp", "event_name")
-    return _contained(events, sessions)
+    return _contained(events, sessions, hot_rows)
 
 
-def session_minutes(stg: DataFrame, sessions: DataFrame) -> DataFrame:
+def session_minutes(stg: DataFrame, sessions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Events matched per session and minute: (session_id, client_id, minute_no, events).
 
     Events of one instant are combined first, so copies do not multiply in the join.
     """
     instants = stg.groupBy("client_id", "timestamp").agg(F.count("*").alias("n"))
     return (
-        _contained(instants, sessions)
+        _contained(instants, sessions, hot_rows)
         .groupBy("session_id", "client_id", epoch_minute(F.col("timestamp")).alias("minute_no"))
         .agg(F.sum("n").alias("events"))
     )

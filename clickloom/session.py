@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 
 _local_roots: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def local_session(app: str = "clickloom", cores: int | str = "*", shuffle_partitions: int = 8,
@@ -53,3 +56,27 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the scratch folder; never reused, so no stale data can be read."""
     return f"{scratch_root(spark)}/clickloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Lets tasks import this package, once per application."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = Path(__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="clickloom-")) / "clickloom.zip"  # the driver's; Spark hands it to executors
+        with zipfile.ZipFile(archive, "w") as out:
+            for path in sorted(package.rglob("*.py")):
+                out.write(path, path.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _shipped.add(application)
+
+
+def derived(spark: SparkSession, settings: dict[str, object]) -> SparkSession:
+    """A session of the same application with this one's settings and some of its own; the given one stays as it is."""
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if other.conf.get(key, None) != value:
+            other.conf.set(key, value)
+    for key, value in settings.items():
+        other.conf.set(key, value)
+    return other

@@ -16,13 +16,14 @@ from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from clickloom import session
 from clickloom.functions import text
 from clickloom.operators.validate import ABSENT
 from clickloom.schema import CORE_COLUMNS, EVENT_COLUMNS
@@ -48,6 +49,7 @@ HEADER_ALIASES = {
 
 # Bytes in which a header must end; beyond, it cannot be read and all lines are rejected rows.
 HEADER_BYTES = 1 << 20
+_NO_LIMIT = 1 << 50
 
 
 def clean_name(name: str | None) -> str:
@@ -130,20 +132,44 @@ def header_record(content: bytes, complete: bool) -> str | None:
     return None if record is not None or not complete else ""
 
 
-def _header(spark: SparkSession, path: str, size: int) -> str:
-    for limit in (1 << 13, HEADER_BYTES):
-        found = header_record(storage.head(spark, path, limit), size <= limit)
-        if found is not None:
-            return found
-    return ""
-
-
-def discover(spark: SparkSession, pattern: str, threads: int = 16) -> list[SourceFile]:
-    """Files of a glob with their header shapes, by name. Only first bytes are read."""
+def _first_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Path and header record of a partition that is one file; of what stands behind the header little is read."""
+    path, content, record = None, b"", None
+    for batch in batches:
+        for name in batch["path"][:1].to_pylist():
+            path = path or name
+        content += b"".join(line + b"\n" for line in batch["line"].to_pylist())
+        record = header_record(content[:HEADER_BYTES], False)
+        if record is not None or len(content) > HEADER_BYTES:
+            break
+    else:
+        record = record or header_record(content[:-1], True)
+    if path is not None:
+        yield pa.RecordBatch.from_pydict({"path": [path], "record": [record]})
+
+
+def _headers(spark: SparkSession, paths: list[str]) -> dict[str, str | None]:
+    """Header records by path. Tasks take one file each and stop reading when its header is complete."""
+    whole = session.derived(spark, {
+        # no file is split and none shares a task; batches are a few lines
+        "spark.sql.files.maxPartitionBytes": _NO_LIMIT,
+        "spark.sql.files.openCostInBytes": _NO_LIMIT,
+        "spark.sql.files.maxPartitionNum": len(paths),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": 64,
+    })
+    session.ship_package(spark)
+    lines = whole.read.option("lineSep", "\n").text(paths).select(
+        csv_records.file_path().alias("path"), F.col("value").cast("binary").alias("line"))
+    found = lines.mapInArrow(_first_records, "path string, record string")
+    return {r.path: r.record for r in found.collect()}
+
+
+def discover(spark: SparkSession, pattern: str) -> list[SourceFile]:
+    """Files of a glob with their header shapes, by name. Tasks read their first lines, the driver plans with the headers."""
     files = storage.list_files(spark, pattern)
-    with ThreadPoolExecutor(threads) as pool:
-        records = list(pool.map(lambda f: _header(spark, f[0], f[2]), files))
-    return [SourceFile(path, name, size, parse_header(record)) for (path, name, size), record in zip(files, records)]
+    full = [path for path, _, size in files if size]
+    records = _headers(spark, full) if full else {}
+    return [SourceFile(path, name, size, parse_header(records.get(path) or "")) for path, name, size in files]
 
 
 _REPORT_SCHEMA = (

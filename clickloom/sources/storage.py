@@ -48,13 +48,3 @@ def version(spark: SparkSession, path: str) -> tuple:
     fs, p = _fs(spark, path)
     summary = fs.getContentSummary(p)
     return summary.getLength(), summary.getFileCount(), fs.getFileStatus(p).getModificationTime()
-
-
-def head(spark: SparkSession, path: str, limit: int) -> bytes:
-    """The first bytes of a file, ``limit`` at most."""
-    fs, p = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        return bytes(stream.readNBytes(limit))
-    finally:
-        stream.close()

@@ -123,3 +123,25 @@ def test_no_pairs_are_formed(spark):
     joins = [line for line in plan.splitlines() if "Join " in line]
     for line in joins:
         assert line.count("=") >= 2, line
+
+
+def test_purchases_and_sessions_are_shuffled_once_each_way(spark, folder):
+    """One exchange onto the timeline, two for the summaries of hours, one back to purchases."""
+    spark.createDataFrame([buy("T", "u", "2024-01-08 10:00:00")], BUYS).write.parquet(folder + "/b")
+    spark.createDataFrame([session("a", "u", "2024-01-01 10:00:00")], SESSIONS).write.parquet(folder + "/s")
+    df = attribution.attribute(spark.read.parquet(folder + "/b"), spark.read.parquet(folder + "/s"))
+    for setting in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"):
+        spark.conf.set(setting, "false" if "adaptive" in setting else "-1")
+    try:
+        plan = df.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("+- Exchange ") == 4 and plan.count("ReusedExchange") == 1, plan
+
+
+def test_purchase_given_twice_counts_its_sessions_once(spark):
+    sessions = [session("a", "u", "2024-01-01 09:00"), session("b", "u", "2024-01-01 09:00")]
+    twice = spark.createDataFrame([buy("T", "u", "2024-01-01 10:00")] * 2, BUYS)
+    rows = attribution.attribution_candidates(twice, spark.createDataFrame(sessions, SESSIONS)).collect()
+    assert [r["n_candidates"] for r in rows] == [2]

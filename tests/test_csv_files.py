@@ -6,6 +6,7 @@ import re
 from contextlib import contextmanager
 from datetime import date, datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -341,3 +342,40 @@ def test_no_files(spark, folder):
     assert report.count() == 0 and tuple(totals.first()) == (0, 0, 0) and errors.count() == 0
     log = ingest.ingest(spark, f"{folder}/*.csv", folder + "/tables")
     assert log.count() == 0
+
+
+def test_headers_are_read_by_tasks_a_few_lines_each(spark, folder):
+    """One task a file, whatever its size; the driver's session keeps its settings."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    header = '"client_id","event\nname"'
+    contents = {
+        "a.csv": "client_id,timestamp\n" + "x,y\n" * 200_000,
+        "b.csv": f"\n \n{header}\nx,y\n",
+        "c.csv": "\ufeffclient_id,time\r\n",
+        "d.csv": "",
+        "e.csv": "\n\n",
+        "f.csv": '"never closed\n' + "x\n" * 20,
+        "g.csv": "x" * (csv_files.HEADER_BYTES + 1) + "\n",
+        "h.csv": "client_id",
+        "i.csv": "\n" * 3000 + "client_id,date\nx,y\n",
+    }
+    for name, content in contents.items():
+        put(folder, name, content)
+    shapes = {f.name: f.shape.headers for f in csv_files.discover(spark, f"{folder}/*.csv")}
+    assert shapes == {
+        "a.csv": ("client_id", "timestamp"), "b.csv": ("client_id", "event\nname"), "c.csv": ("client_id", "time"), "d.csv": (),
+        "e.csv": (), "f.csv": (), "g.csv": (), "h.csv": ("client_id",), "i.csv": ("client_id", "date")}
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_little_is_taken_from_a_long_file():
+    """A task's iterator is left where its header is complete."""
+    taken = []
+
+    def batches():
+        for i in range(100):
+            taken.append(i)
+            yield pa.RecordBatch.from_pydict({"path": ["p"] * 2, "line": [b"a,b", b"1,2"]})
+
+    assert [b.to_pylist() for b in csv_files._first_records(batches())] == [[{"path": "p", "record": "a,b"}]]
+    assert taken == [0]

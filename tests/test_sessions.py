@@ -172,3 +172,30 @@ def test_a_device_is_never_shuffled_whole(spark, folder):
             child = steps[i + 1]
             combined = re.search(r"Aggregate\(keys?=\[client_id#\d+, \w+#", child)
             assert combined or "master_user_id" in child, child
+
+
+def test_busy_hour_is_dealt_to_several_tasks(spark):
+    """A third of all events, copies among them, lie in one hour of one device; adaptive execution is off."""
+    rng = random.Random(5)
+    start = at("2024-01-01 10:00")
+    events = [("hot", start + timedelta(seconds=rng.randrange(40) * 60)) for _ in range(400)]
+    events += [(f"c{rng.randrange(30)}", start + timedelta(minutes=rng.randrange(600))) for _ in range(800)]
+    stg = spark.createDataFrame([stg_row(c, t.isoformat()) for c, t in events], STG_DDL).repartition(3)
+    sessions = session_rollup(stg, spark.createDataFrame([], NO_MAP))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        match = matching.event_session_match(stg, sessions, hot_rows=50)
+        # each event lies in one session, the one it was counted in
+        assert match.count() == len(events)
+        found = {r["session_id"]: r["count"] for r in match.groupBy("session_id").count().collect()}
+        assert found == {r["session_id"]: r["actions_per_session"] for r in sessions.collect()}
+        whole = matching.session_minutes(stg, sessions)
+        assert whole.exceptAll(matching.session_minutes(stg, sessions, hot_rows=3)).isEmpty()
+        hour = F.date_trunc("hour", "timestamp").cast("string").alias("hour_no")
+        placed = stg.select("client_id", hour)
+        dealt, spans = matching._dealt(placed, placed.distinct(), 50)
+        sizes = {(r["client_id"], r["piece"]): r["count"] for r in dealt.groupBy("client_id", "hour_no", "piece").count().collect()}
+        assert len([k for k in sizes if k[0] == "hot"]) >= 8 and max(sizes.values()) <= 100
+        assert dealt.join(spans, ["client_id", "hour_no", "piece"]).count() == len(events)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
