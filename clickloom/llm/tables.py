@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
@@ -51,9 +52,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def tidied(spark: SparkSession) -> None:
-    """Lets shuffle files of finished jobs go: Spark deletes them when the driver collects garbage, which may be late."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Lets shuffle files of finished jobs go: Spark deletes them when the driver collects garbage, which may be late.
+
+    What Python drops is let go in the JVM by a thread of its own; a collection before that finds it still held.
+    """
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.5)
+        spark._jvm.System.gc()
 
 
 def dropped(df: DataFrame) -> None:
