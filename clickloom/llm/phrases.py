@@ -33,7 +33,7 @@ from clickloom.session import scratch_path
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 SHARDS = 3
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: cells of the filter by bytes of text, and their bounds
 CELL_PER_BYTES, CELLS = 32, (1 << 16, 1 << 25)
 NEVER = 255
