@@ -145,3 +145,14 @@ def test_purchase_given_twice_counts_its_sessions_once(spark):
     twice = spark.createDataFrame([buy("T", "u", "2024-01-01 10:00")] * 2, BUYS)
     rows = attribution.attribution_candidates(twice, spark.createDataFrame(sessions, SESSIONS)).collect()
     assert [r["n_candidates"] for r in rows] == [2]
+
+
+def test_only_hours_with_lookups_are_dealt_back(spark):
+    """An hour of sessions alone is summed up for its user, but not sent on; each end gets only the credit it asks for."""
+    sessions = [session(f"s{day}{hour}", "u", f"2024-01-0{day} {hour}:10") for day in (1, 2, 3) for hour in (10, 11, 12)]
+    timeline = attribution._timeline(
+        spark.createDataFrame([buy("T", "u", "2024-01-09 11:00")], BUYS), spark.createDataFrame(sessions, SESSIONS), 7)
+    rows = attribution._carry_over(timeline).orderBy("hour_no").collect()
+    assert [(r["carried_last"], r["carried_first"] and r["carried_first"]["session_id"], r["carried_starts"]) for r in rows[:1]] == [
+        (None, "s212", 4)]
+    assert [(r["carried_last"]["session_id"], r["carried_first"], r["carried_starts"]) for r in rows[1:]] == [("s312", None, 9)]
