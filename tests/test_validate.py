@@ -1,12 +1,13 @@
 from datetime import datetime
 
 import pytest
-from conftest import RAW_DDL, raw_row
+from conftest import RAW_DDL, SF_SMALL, raw_row
 from pyspark.sql import functions as F
 
 from clickloom.functions import clock, text
 from clickloom.operators import validate
 from clickloom.operators.validate import ABSENT
+from clickloom.sources import recipe
 
 
 def reasons(spark, *rows, ddl=RAW_DDL):
@@ -177,3 +178,16 @@ def test_log_status_and_files_without_rows(spark):
         "mixed.csv": (2, 1, 1, "partial_failure"), "bad.csv": (1, 0, 1, "FAILED"),
         "good.csv": (1, 1, 0, "COMPLETED"), "empty.csv": (0, 0, 0, "COMPLETED"),
     }
+
+
+def test_record_is_computed_before_the_generator(spark):
+    """A generator evaluates what it is given without generated code."""
+    annotated = validate.annotate(spark.createDataFrame([raw_row()], RAW_DDL))
+    plan = validate.valid_events(annotated)._jdf.queryExecution().optimizedPlan().toString()
+    generate = [line for line in plan.splitlines() if "Generate " in line]
+    assert len(generate) == 1 and "inline(array(_record" in generate[0], plan
+
+
+def test_number_is_searched_once_per_row(spark):
+    plan = recipe.raw_clickstream(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract") == 1, plan
