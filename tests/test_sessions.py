@@ -199,3 +199,15 @@ def test_busy_hour_is_dealt_to_several_tasks(spark):
         assert dealt.join(spans, ["client_id", "hour_no", "piece"]).count() == len(events)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_instants_are_shuffled_once(spark):
+    """Busy hours are counted on the events, not on the instants, which would need these a second time."""
+    stg = spark.createDataFrame([stg_row("c", "2024-01-01 10:00")], STG_DDL)
+    sessions = spark.createDataFrame(
+        [("s", "c", at("2024-01-01 10:00"), at("2024-01-01 10:00"))],
+        "session_id string, client_id string, started_at timestamp_ntz, ended_at timestamp_ntz")
+    minutes = matching.session_minutes(stg, sessions)
+    plan = minutes._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"hashpartitioning\(client_id#\d+, timestamp#\d+", plan)) == 1, plan
+    assert [r["events"] for r in minutes.collect()] == [1]
